@@ -1,0 +1,3 @@
+"""Empty on purpose: the marts have batch semantics only. The one rule about time is the as-of cut
+on the purchase date, which a batch filter expresses; there is no event-time window, watermark or
+stateful operator to provide."""
