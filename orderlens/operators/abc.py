@@ -60,13 +60,13 @@ def abc_class(
     """Class of each row of ``rows``, as an expression over its value column.
 
     The floors are a scalar subquery over ``rows``; pass a materialized frame, or the work behind
-    it is done twice.
+    it is done twice. A row without a value has no class.
     """
     if len(labels) != len(cuts) + 1:
         raise ValueError("one label per cut and one for the rest")
-    floors = class_floors(rows, value, cuts, widths)
+    floors = class_floors(rows, value, cuts, widths).select(F.struct("*")).scalar()
     amount = F.col(value)
-    result = F.when(amount <= 0, no_value)
+    result = F.when(amount.isNull(), F.lit(None)).when(amount <= 0, no_value)
     for i in range(len(cuts)):
-        result = result.when(amount >= floors.select(f"floor_{i}").scalar(), labels[i])
+        result = result.when(amount >= floors.getField(f"floor_{i}"), labels[i])
     return result.otherwise(labels[-1])

@@ -8,10 +8,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-# Rank error of the sketch (1 / accuracy) against the width of the bracket around the middle: the
-# bracket is 50 times wider than the error on each side.
+# The sketch's rank error is 1 / accuracy of a group. The bracket around the middle reaches ten
+# times as far on each side, and is ranked in equal slices of its width.
 _ACCURACY = 10_000
-_MARGIN = 0.005
+_MARGIN = 0.001
+_SLICES = 256
 
 
 def group_mode(rows: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -38,8 +39,8 @@ def group_median(rows: DataFrame, key: str, columns: Sequence[str], count: str =
     """Exact interpolating median of each column per key, NULLs skipped, and the row count.
 
     A mergeable sketch brackets the middle of every group; values above the bracket are dropped,
-    values below it only counted, and the few inside are ranked. The largest task ranks about one
-    hundredth of the largest group. A bracket that misses the middle fails the query.
+    values below it only counted, and the few inside are ranked slice by slice. The rows ranked are
+    about 0.2 % of a group, in up to 256 tasks. A bracket that missed the middle fails the query.
     """
     middle = F.array(F.lit(0.5 - _MARGIN), F.lit(0.5 + _MARGIN))
     brackets = rows.groupBy(key).agg(
@@ -49,33 +50,38 @@ def group_median(rows: DataFrame, key: str, columns: Sequence[str], count: str =
     )
     sides = [
         F.struct(
-            F.col(c).alias("value"),
-            F.element_at(f"__b_{i}", 1).alias("low"),
-            F.element_at(f"__b_{i}", 2).alias("high"),
+            F.col(c).cast("double").alias("value"),
+            F.element_at(f"__b_{i}", 1).cast("double").alias("low"),
+            F.element_at(f"__b_{i}", 2).cast("double").alias("high"),
             F.col(f"__n_{i}").alias("size"),
         )
         for i, c in enumerate(columns)
     ]
+    value, low, high = F.col("side.value"), F.col("side.low"), F.col("side.high")
+    width = high - low
+    slice_number = F.when((width > 0) & (width < float("inf")), F.floor((value - low) / width * _SLICES)).otherwise(0)
+    group = [key, "which", "size"]
     near = (
         rows.select(key, *columns)
         .join(brackets.drop(count), key)
         .select(key, F.posexplode(F.array(*sides)).alias("which", "side"))
-        .filter(F.col("side.value") <= F.col("side.high"))
+        .filter(value <= high)
         .groupBy(
             key,
             "which",
             F.col("side.size").alias("size"),
-            F.when(F.col("side.value") >= F.col("side.low"), F.col("side.value")).alias("value"),
+            F.when(value < low, -1).otherwise(slice_number).alias("slice"),
+            F.when(value >= low, value).alias("value"),
         )
         .agg(F.count("*").alias("n"))
     )
-    # The NULL value is the count of everything below the bracket and sorts first.
-    running = (
-        W.partitionBy(key, "which")
-        .orderBy(F.asc_nulls_first("value"))
-        .rowsBetween(W.unboundedPreceding, W.currentRow)
-    )
-    ranked = near.withColumn("upto", F.sum("n").over(running))
+    # Slice -1 is the count of everything below the bracket.
+    slices = near.groupBy(*group, "slice").agg(F.sum("n").alias("in_slice"))
+    up_to = W.partitionBy(*group).orderBy("slice").rowsBetween(W.unboundedPreceding, W.currentRow)
+    offsets = slices.select(*group, "slice", (F.sum("in_slice").over(up_to) - F.col("in_slice")).alias("before"))
+    inside = W.partitionBy(*group, "slice").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
+    ranked = near.join(offsets, [*group, "slice"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
+
     missed = F.raise_error(F.lit("the middle of a group lies outside its bracket"))
     middles = ranked.groupBy(key, "which").agg(
         *[

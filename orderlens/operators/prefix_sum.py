@@ -32,12 +32,14 @@ def prefix_sum(
     """Add ``before`` (sum of ``amount`` over all greater ``order_by`` values) and ``total``.
 
     ``rows`` holds one row per ``order_by`` value and partition, so the sums are those of a running
-    window in descending order, less the current row. ``order_by`` must be an integer or a decimal.
+    window in descending order, less the current row. ``order_by`` must be an integer or a decimal;
+    rows where it is NULL have no place in the order and are left out.
     """
     kind = rows.schema[order_by].dataType
     if not isinstance(kind, (T.DecimalType, T.IntegralType)):
         raise TypeError(f"{order_by} must be an integer or a decimal, not {kind.simpleString()}")
     keys = list(partition_by)
+    rows = rows.filter(F.col(order_by).isNotNull())
     money = rows.schema[amount].dataType
     out_type = f"decimal(38,{money.scale})" if isinstance(money, T.DecimalType) else "bigint"
 
@@ -54,7 +56,8 @@ def prefix_sum(
     quotient = F.expr(f"`{order_by}` div {widths[0]}")
     if isinstance(kind, T.DecimalType):
         quotient = F.floor(F.col(order_by) / F.lit(widths[0]))
-    ranged = rows.withColumn("__range", quotient)
+    # Never NULL, and declared so: both sides of the join below then share one exchange of the rows.
+    ranged = rows.withColumn("__range", F.coalesce(quotient, F.lit(0)))
     totals = ranged.groupBy(*keys, "__range").agg(F.sum(amount).cast(out_type).alias("__amount"))
     offsets = prefix_sum(totals, "__range", "__amount", keys, widths[1:], "__offset", total)
     inside = (

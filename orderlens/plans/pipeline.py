@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import date
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,6 +33,8 @@ from orderlens.sources.warehouse import Warehouse
 
 # Written by the build because several marts read them; not part of the delivered model.
 INTERMEDIATE = ("delivered_lines", "customer_base")
+# Tables written at the same time; each write is a distributed job of its own.
+CONCURRENT_WRITES = 6
 
 
 @dataclass(frozen=True)
@@ -56,6 +60,19 @@ class ExportResult:
     path: str
 
 
+def _write_together(
+    warehouse: Warehouse, kind: str, run_id: str, frames: Mapping[str, DataFrame]
+) -> list[tuple[str, DataFrame, int]]:
+    """Write independent tables as concurrent jobs: name, stored table and rows of each. The first
+    failure is raised once the others have ended, and nothing is committed."""
+
+    def write(name: str) -> tuple[str, DataFrame, int]:
+        return name, *warehouse.write(kind, run_id, name, frames[name])
+
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        return list(pool.map(inheritable_thread_target(warehouse.spark)(write), frames))
+
+
 def ingest(warehouse: Warehouse, source_dir: str, force: bool = False) -> IngestResult:
     """Load the landing files as text. A committed ingest is returned as it is unless forced."""
     done = warehouse.current("ingest")
@@ -63,9 +80,8 @@ def ingest(warehouse: Warehouse, source_dir: str, force: bool = False) -> Ingest
         return IngestResult(done["run_id"], len(done["tables"]), done["row_count"])
     require_contract(warehouse.spark, source_dir)
     run_id = str(uuid.uuid4())
-    counts = {}
-    for name, frame in read_landing(warehouse.spark, source_dir).items():
-        _, counts[name] = warehouse.write("ingest", run_id, name, frame)
+    landed = read_landing(warehouse.spark, source_dir)
+    counts = {name: rows for name, _, rows in _write_together(warehouse, "ingest", run_id, landed)}
     warehouse.commit("ingest", run_id, counts)
     return IngestResult(run_id, len(counts), sum(counts.values()))
 
@@ -84,29 +100,31 @@ def build(warehouse: Warehouse, as_of: date | None = None) -> BuildResult:
     built: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
 
-    def store(name: str, frame: DataFrame) -> DataFrame:
-        built[name], counts[name] = warehouse.write("build", ctx.build_id, name, frame)
-        return built[name]
+    def store(**frames: DataFrame) -> None:
+        """Write tables that do not read each other, side by side."""
+        for name, stored, rows in _write_together(warehouse, "build", ctx.build_id, frames):
+            built[name], counts[name] = stored, rows
 
-    store("build_context", ctx.frame(warehouse.spark))
-    for name, frame in build_model(raw).items():
-        store(name, frame)
+    store(build_context=ctx.frame(warehouse.spark), **build_model(raw))
     items, products = built["fct_order_item"], built["dim_product"]
 
-    summary = store("order_summary", order_summary(built["fct_order"], items, built["fct_payment"], built["fct_review"]))
-    store("executive_monthly", executive_monthly(summary, ctx))
-    store("delivery_experience", delivery_experience(summary, ctx))
-
-    lines = store("delivered_lines", delivered_lines(summary, items, ctx))
-    base = store("customer_base", customer_base(lines, products))
-    segments = store("customer_segmentation", customer_segmentation(base, ctx))
-    store("customer_segment_summary", customer_segment_summary(segments, ctx))
-    store("customer_cross_segment", customer_cross_segment(segments, ctx))
-    store("customer_category_affinity", customer_category_affinity(lines, products, segments, ctx))
-    store("category_performance", category_performance(lines, products, ctx))
-    store("seller_performance", seller_performance(lines, built["dim_seller"], ctx))
-
-    store("quality_checks", quality_checks(built, ctx))
+    store(order_summary=order_summary(built["fct_order"], items, built["fct_payment"], built["fct_review"]))
+    summary = built["order_summary"]
+    store(delivered_lines=delivered_lines(summary, items, ctx))
+    lines = built["delivered_lines"]
+    store(customer_base=customer_base(lines, products))
+    store(customer_segmentation=customer_segmentation(built["customer_base"], ctx))
+    segments = built["customer_segmentation"]
+    store(
+        executive_monthly=executive_monthly(summary, ctx),
+        delivery_experience=delivery_experience(summary, ctx),
+        customer_segment_summary=customer_segment_summary(segments, ctx),
+        customer_cross_segment=customer_cross_segment(segments, ctx),
+        customer_category_affinity=customer_category_affinity(lines, products, segments, ctx),
+        category_performance=category_performance(lines, products, ctx),
+        seller_performance=seller_performance(lines, built["dim_seller"], ctx),
+        quality_checks=quality_checks(built, ctx),
+    )
     warehouse.commit("build", ctx.build_id, counts, parent_id=source["run_id"], as_of=ctx.as_of)
     return BuildResult(ctx.build_id, ctx.as_of, table_count(warehouse))
 
@@ -135,12 +153,16 @@ def validate(warehouse: Warehouse, report_dir: str, raise_on_failure: bool = Tru
 
 
 def _write_exports(tables: Mapping[str, DataFrame], out: str) -> None:
-    for name in EXPORT_TABLES:
+    def write(name: str) -> None:
         write_csv(tables[name], f"{out}/internal/csv/{name}")
         tables[name].write.parquet(f"{out}/internal/parquet/{name}")
         write_csv(tables[name], f"{out}/internal/spreadsheet/{name[:31]}", spreadsheet=True)
         write_csv(public_rows(tables[name]), f"{out}/public/{name}")
 
+    spark = next(iter(tables.values())).sparkSession
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        list(pool.map(inheritable_thread_target(spark)(write), EXPORT_TABLES))
+
 
 def export(warehouse: Warehouse, out_dir: str) -> ExportResult:
     """Publish the current build, through the gate only. The manifest is written last: a folder

@@ -69,8 +69,7 @@ class Canonical:
         return lines_plan.delivered_lines(self["order_summary"], self.sample.items(), self.ctx)
 
     def _customer_base(self):
-        plain = lines_plan.delivered_lines(self.sample.person_orders(), self.sample.items(), self.ctx)
-        return segmentation.customer_base(plain, self.sample.products())
+        return segmentation.customer_base(self["delivered_lines"], self.sample.products())
 
     def _stored_base(self):
         return materialize(self["customer_base"])
@@ -102,9 +101,9 @@ class Canonical:
         return performance.seller_performance(self["delivered_lines"], self.sample.sellers(), self.ctx)
 
     def _quality_checks(self):
-        """The summary and the segmentation feed several checks, so both are written first."""
+        """The summary feeds several checks and the delivered lines, so it is written first."""
         s = self.sample
-        summary = materialize(self["order_summary"])
+        summary = self._built["order_summary"] = materialize(self["order_summary"])
         items = s.items()
         return quality.quality_checks(
             {
@@ -114,8 +113,8 @@ class Canonical:
                 "dim_product": s.products(),
                 "dim_seller": s.sellers(),
                 "order_summary": summary,
-                "customer_segmentation": materialize(self["customer_segmentation"]),
-                "delivered_lines": lines_plan.delivered_lines(summary, items, self.ctx),
+                "customer_segmentation": self["customer_segmentation"],
+                "delivered_lines": self["delivered_lines"],
             },
             self.ctx,
         )
