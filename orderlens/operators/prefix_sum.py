@@ -11,8 +11,9 @@ gives the same answer. With one row per distinct value a range holds at most ``w
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -57,19 +58,21 @@ def prefix_sum(
     if isinstance(kind, T.DecimalType):
         quotient = F.floor(F.col(order_by) / F.lit(widths[0]))
     # Never NULL, and declared so: both sides of the join below then share one exchange of the rows.
-    ranged = rows.withColumn("__range", F.coalesce(quotient, F.lit(0)))
-    totals = ranged.groupBy(*keys, "__range").agg(F.sum(amount).cast(out_type).alias("__amount"))
-    offsets = prefix_sum(totals, "__range", "__amount", keys, widths[1:], "__offset", total)
+    level = len(widths)
+    range_id, range_sum, offset = f"__range_{level}", f"__sum_{level}", f"__offset_{level}"
+    ranged = rows.withColumn(range_id, F.coalesce(quotient, F.lit(0)))
+    totals = ranged.groupBy(*keys, range_id).agg(F.sum(amount).cast(out_type).alias(range_sum))
+    offsets = prefix_sum(totals, range_id, range_sum, keys, widths[1:], offset, total)
     inside = (
-        W.partitionBy(*keys, "__range")
+        W.partitionBy(*keys, range_id)
         .orderBy(F.desc(order_by))
         .rowsBetween(W.unboundedPreceding, W.currentRow)
     )
+    # NULL partition keys are partitions too.
+    placed = offsets.select(*[F.col(k).alias(f"__{k}_{level}") for k in keys], F.col(range_id).alias("__placed"), offset, total)
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}_{level}")) for k in keys]
     return (
-        ranged.join(offsets.drop("__amount"), [*keys, "__range"])
-        .withColumn(
-            before,
-            (F.col("__offset") + F.sum(amount).over(inside) - F.col(amount)).cast(out_type),
-        )
+        ranged.join(placed, reduce(Column.__and__, same, F.col(range_id) == F.col("__placed")))
+        .withColumn(before, (F.col(offset) + F.sum(amount).over(inside) - F.col(amount)).cast(out_type))
         .select(*rows.columns, before, total)
     )
