@@ -87,14 +87,20 @@ COVERED_TABLES = (
 )
 
 
-def evaluate(tables: Mapping[str, DataFrame], names: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Measures of one mart in one aggregate, per group of ``by`` or as a single row."""
+def evaluate(
+    tables: Mapping[str, DataFrame], names: Sequence[str], by: Sequence[str] = (), ranked: bool = False
+) -> DataFrame:
+    """Measures of one mart in one aggregate, per group of ``by`` or as a single row.
+
+    ``ranked`` sorts as the charts do: by the first measure, greatest first, then by the groups.
+    """
     known = measures()
     sources = {known[name].table for name in names}
     if len(sources) != 1:
         raise ValueError(f"measures of one mart at a time, not of {sorted(sources)}")
     values = [known[name].value.alias(name) for name in names]
-    return tables[sources.pop()].groupBy(*by).agg(*values)
+    measured = tables[sources.pop()].groupBy(*by).agg(*values)
+    return measured.orderBy(F.desc_nulls_last(f"`{names[0]}`"), *by) if ranked else measured
 
 
 def suppressed_rows(tables: Mapping[str, DataFrame]) -> DataFrame:

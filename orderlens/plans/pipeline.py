@@ -12,7 +12,6 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.contracts import RAW_TABLES
 from orderlens.plans.context import resolve_context
 from orderlens.plans.lines import delivered_lines
 from orderlens.plans.model import build_model
@@ -27,7 +26,7 @@ from orderlens.plans.segmentation import (
     customer_segment_summary,
     customer_segmentation,
 )
-from orderlens.sources.landing import read_landing, require_contract
+from orderlens.sources.landing import landing_manifest, read_landing, require_contract, snapshot_manifest
 from orderlens.sources.published import write_csv
 from orderlens.sources.warehouse import Warehouse
 
@@ -86,6 +85,18 @@ def ingest(warehouse: Warehouse, source_dir: str, force: bool = False) -> Ingest
     return IngestResult(run_id, len(counts), sum(counts.values()))
 
 
+def record_landing(warehouse: Warehouse, source_dir: str, dataset: str, source: str) -> DataFrame:
+    """Store the manifest of the landing files: one JSON line per file, and the snapshot as one line."""
+    spark, run_id = warehouse.spark, str(uuid.uuid4())
+    files_path = warehouse.path("landing", run_id, "files")
+    landing_manifest(spark, source_dir, "*.csv").write.json(files_path)
+    files = spark.read.schema("file string, path string, bytes bigint, sha256 string").json(files_path)
+    snapshot = snapshot_manifest(files, dataset, source)
+    snapshot.write.json(warehouse.path("landing", run_id, "snapshot"))
+    warehouse.commit("landing", run_id, {"files": files.count(), "snapshot": 1})
+    return files
+
+
 def build(warehouse: Warehouse, as_of: date | None = None) -> BuildResult:
     """Typed model, marts and checks of the current ingest, committed together.
 
@@ -191,6 +202,3 @@ def run_all(
     ingest(warehouse, source_dir, force)
     build(warehouse, as_of)
     return export(warehouse, out_dir)
-
-
-__all__ = ["RAW_TABLES", "BuildResult", "ExportResult", "IngestResult", "build", "export", "ingest", "run_all", "validate"]

@@ -733,6 +733,7 @@ ORACLE: dict[str, str] = {
                   cast(seller_id as varchar) as seller_id, shipping_limit_at, price as item_value_brl,
                   freight as freight_value_brl from sold"""
     ),
+    "pipeline_segment_summary": sql(SUMMARY.replace("'build-0' as build_id, ", "")),
     "published_roundtrip": sql(
         f"""select {TAGS}, cast(seller_id as varchar) as seller_id, seller_state, orders, units,
                    cast(merchandise_gmv_brl as double) as merchandise_gmv_brl,

@@ -8,13 +8,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlens.contracts import RAW_TABLES
+from orderlens.contracts import RAW_TABLES, RawTable
 from orderlens.functions import display
 from orderlens.functions.labels import CATEGORY_LABELS, label_or_null, unmapped
 from orderlens.functions.parsing import blank_to_null, parse_decimal, parse_double, parse_int, parse_timestamp
@@ -24,7 +26,7 @@ from orderlens.operators.prefix_sum import prefix_sum
 from orderlens.plans import lines as lines_plan
 from orderlens.plans import metrics, model, orders, performance, publication, quality, segmentation
 from orderlens.plans.context import BuildContext, last_purchase_date
-from orderlens.plans.pipeline import ingest
+from orderlens.plans.pipeline import CONCURRENT_WRITES, build, ingest
 from orderlens.session import materialize, scratch_dir
 from orderlens.sources.landing import landing_manifest, snapshot_manifest
 from orderlens.sources.published import check_published, read_published, write_csv
@@ -101,13 +103,15 @@ class Canonical:
         return performance.seller_performance(self["delivered_lines"], self.sample.sellers(), self.ctx)
 
     def _quality_checks(self):
-        """The summary feeds several checks and the delivered lines, so it is written first."""
+        """The summary holds every column and row of the orders and feeds the lines as well, so it is
+        written first and stands in for the orders."""
         s = self.sample
-        summary = self._built["order_summary"] = materialize(self["order_summary"])
         items = s.items()
+        summary = materialize(orders.order_summary(s.orders(), items, s.payments(), s.reviews()))
+        self._built["order_summary"] = summary
         return quality.quality_checks(
             {
-                "fct_order": s.orders(),
+                "fct_order": summary,
                 "bridge_customer_order_address": s.bridge(),
                 "fct_order_item": items,
                 "dim_product": s.products(),
@@ -138,10 +142,10 @@ def _model(build: Callable[[Sample], DataFrame]):
     return lambda spark, sf_dir: build(Sample(spark, sf_dir))
 
 
-def _measures(table: str, *names: str, by: tuple[str, ...] = ()):
+def _measures(table: str, *names: str, by: tuple[str, ...] = (), ranked: bool = False):
     def run(spark, sf_dir):
         tables = Canonical(spark, sf_dir).tables(table)
-        measured = metrics.evaluate(tables, names, by)
+        measured = metrics.evaluate(tables, names, by, ranked)
         renamed = {name: name.lower().replace(" ", "_") for name in names}
         return _rounded(measured.withColumnsRenamed(renamed))
 
@@ -398,9 +402,13 @@ def _raw_frames(s: Sample) -> dict[str, DataFrame]:
 def _ingested(spark, sf_dir) -> tuple[Warehouse, str]:
     """All nine tables written as landing CSV and ingested."""
     folder = _new_folder(spark)
-    for raw in RAW_TABLES:
-        frame = _raw_frames(Sample(spark, sf_dir))[raw.table]
-        frame.write.csv(f"{folder}/landing/{raw.file}", header=True, quote='"', escape='"')
+    frames = _raw_frames(Sample(spark, sf_dir))
+
+    def land(raw: RawTable) -> None:
+        frames[raw.table].write.csv(f"{folder}/landing/{raw.file}", header=True, quote='"', escape='"')
+
+    with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
+        list(pool.map(inheritable_thread_target(spark)(land), RAW_TABLES))
     warehouse = Warehouse(spark, f"{folder}/warehouse")
     ingest(warehouse, f"{folder}/landing")
     return warehouse, folder
@@ -426,6 +434,17 @@ def _ingested_order_items(spark, sf_dir):
     return model.fct_order_item(warehouse.tables("ingest")["raw_order_items"])
 
 
+def _pipeline_mart(name: str):
+    """A mart of a whole run: landing files, ingest, build. Its build id is new every time."""
+
+    def run(spark, sf_dir):
+        warehouse, _ = _ingested(spark, sf_dir)
+        build(warehouse, CONTEXT.as_of)
+        return _rounded(warehouse.tables("build")[name].drop("build_id"))
+
+    return run
+
+
 def _landing_manifest(spark, sf_dir):
     return landing_manifest(spark, sf_dir, "*.parquet").select("file", "bytes", "sha256")
 
@@ -526,15 +545,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "Clientes una categoria",
         "GMV por segmento",
     ),
-    "measures_by_segment": _measures("customer_segment_summary", "GMV por segmento", by=("segment_label",)),
+    "measures_by_segment": _measures("customer_segment_summary", "GMV por segmento", by=("segment_label",), ranked=True),
     "measures_cross": _measures(
         "customer_cross_segment", "Clientes cruce", by=("value_segment", "unit_segment", "category_segment")
     ),
     "measures_affinity": _measures(
-        "customer_category_affinity", "GMV afinidad", by=("category_name", "value_segment")
+        "customer_category_affinity", "GMV afinidad", by=("category_name", "value_segment"), ranked=True
     ),
     "measures_category": _measures("category_performance", "GMV categorias", "Review categoria"),
-    "measures_by_category": _measures("category_performance", "GMV categorias", by=("category_name",)),
+    "measures_by_category": _measures("category_performance", "GMV categorias", by=("category_name",), ranked=True),
     "measures_delivery": _measures(
         "delivery_experience",
         "Ordenes entrega",
@@ -549,7 +568,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "measures_sellers": _measures(
         "seller_performance", "Vendedores publicables", "GMV vendedores", "Tasa tardia vendedores"
     ),
-    "measures_sellers_by_state": _measures("seller_performance", "Tasa tardia vendedores", by=("seller_state",)),
+    "measures_sellers_by_state": _measures("seller_performance", "Tasa tardia vendedores", by=("seller_state",), ranked=True),
     "measures_quality": _measures(
         "quality_checks",
         "Controles",
@@ -564,6 +583,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_row_counts": _ingest_row_counts,
     "ingest_state": _ingest_state,
     "ingested_order_items": _ingested_order_items,
+    "pipeline_segment_summary": _pipeline_mart("customer_segment_summary"),
     "published_roundtrip": _published_roundtrip,
     "landing_manifest": _landing_manifest,
     "snapshot_manifest": _snapshot_manifest,

@@ -8,8 +8,9 @@ from pathlib import Path
 
 import pytest
 
-from orderlens.sources.landing import landing_manifest, read_raw, snapshot_manifest
 from orderlens.contracts import RAW_BY_TABLE
+from orderlens.plans.pipeline import record_landing
+from orderlens.sources.landing import landing_manifest, read_raw, snapshot_manifest
 from orderlens.sources.warehouse import Warehouse
 
 
@@ -58,3 +59,13 @@ def test_readers_follow_the_last_commit(spark, tmp_path):
     run = warehouse.current("build")
     assert (run.run_id, run.parent_id, run.row_count, run.tables) == ("two", "p", 5, ["t"])
     assert warehouse.tables("build")["t"].count() == 5
+
+
+def test_the_landing_record_is_stored_and_committed(spark, compact_dir, tmp_path):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    files = record_landing(warehouse, compact_dir, "orders", "https://example.org/snapshot")
+    assert files.count() == 9
+    run = warehouse.current("landing")
+    assert (run.tables, run.row_count) == (["files", "snapshot"], 10)
+    stored = spark.read.json(warehouse.path("landing", run.run_id, "snapshot")).first()
+    assert (stored.dataset, stored["files"], stored.source) == ("orders", 9, "https://example.org/snapshot")
