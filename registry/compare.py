@@ -39,9 +39,8 @@ def _rows(columns: list[str], rows) -> Counter:
     return Counter(repr(tuple(_plain(row[i]) for i in order)) for row in rows)
 
 
-def difference(spark, connection, name: str, sf_dir: str) -> tuple[str, int]:
-    """What differs, empty when nothing does, and the number of rows."""
-    frame = QUERIES[name](spark, sf_dir)
+def difference(connection, name: str, frame) -> tuple[str, int]:
+    """What differs between a query's frame and its SQL, empty when nothing does, and the rows."""
     got = frame.collect()
     if name not in ORACLE:
         return "", len(got)
@@ -52,7 +51,8 @@ def difference(spark, connection, name: str, sf_dir: str) -> tuple[str, int]:
         return f"columns {sorted(frame.columns)} against {sorted(columns)}", len(got)
     ours, theirs = _rows(frame.columns, got), _rows(columns, expected)
     if ours != theirs:
-        return f"{len(got)} rows against {len(expected)}; only ours {list((ours - theirs))[:3]}; only theirs {list((theirs - ours))[:3]}", len(got)
+        samples = f"only ours {list(ours - theirs)[:3]}; only theirs {list(theirs - ours)[:3]}"
+        return f"{len(got)} rows against {len(expected)}; {samples}", len(got)
     return "", len(got)
 
 
@@ -73,12 +73,13 @@ def main(sf_dir: str, names: list[str]) -> int:
     for name in names or QUERIES:
         start = time.time()
         try:
-            problem, rows = difference(spark, connection, name, sf_dir)
+            problem, rows = difference(connection, name, QUERIES[name](spark, sf_dir))
         except Exception as error:
             problem, rows = f"{type(error).__name__}: {str(error)[:600]}", -1
         wrong += bool(problem)
         checked = "sql " if name in ORACLE else "rows"
-        print(f"{'BAD' if problem else 'ok '} {checked} {name} rows={rows} {time.time() - start:.1f}s {problem}", flush=True)
+        took = time.time() - start
+        print(f"{'BAD' if problem else 'ok '} {checked} {name} rows={rows} {took:.1f}s {problem}", flush=True)
     spark.stop()
     return wrong
 

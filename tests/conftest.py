@@ -20,7 +20,8 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[4]")
         .appName("orderlens-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.sql.shuffle.partitions", "2")
+        .config("spark.default.parallelism", "1")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
         .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))

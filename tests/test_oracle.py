@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 
 import pytest
 
@@ -25,8 +26,22 @@ def test_every_query_has_sql_unless_sql_cannot_say_it():
     assert set(ORACLE) <= set(QUERIES)
 
 
+def _check_plan(frame, name: str) -> None:
+    """No cross join, no Python but the digests, and no single task over rows."""
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert name.endswith("_manifest") or not re.search(r"Python|Pandas|MapInArrow", plan)
+    for single in plan.split("Exchange SinglePartition")[1:]:
+        # One partition receives partial totals of an aggregate, or the totals of value ranges.
+        below = single.split("\n")[1]
+        assert "partial_" in below or "merge_" in below or "__range_" in below, below
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql(spark, connection, name):
-    problem, rows = difference(spark, connection, name, SAMPLE)
+    frame = QUERIES[name](spark, SAMPLE)
+    _check_plan(frame, name)
+    problem, rows = difference(connection, name, frame)
     assert not problem
     assert rows >= 0

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 
 import pytest
 
@@ -36,17 +35,3 @@ def test_marts_skip_the_facts_they_do_not_use(spark):
     assert "l_returnflag" not in plan and "l_extendedprice" not in plan
     plan = _plan(spark, "executive_monthly")
     assert "l_returnflag" not in plan and "l_suppkey" not in plan and "l_partkey" not in plan
-
-
-@pytest.mark.parametrize(
-    "name", [n for n in QUERIES if not n.startswith(("ingest", "landing", "snapshot", "published"))]
-)
-def test_no_cross_join_no_python_and_no_single_task_over_rows(spark, name):
-    plan = _plan(spark, name)
-    assert "CartesianProduct" not in plan
-    assert "BroadcastNestedLoopJoin" not in plan
-    assert not re.search(r"Python|Pandas|MapInArrow", plan)
-    for single in plan.split("Exchange SinglePartition")[1:]:
-        # One partition receives partial totals of an aggregate, or the totals of value ranges.
-        below = single.split("\n")[1]
-        assert "partial_" in below or "merge_" in below or "__range_" in below, below
