@@ -30,6 +30,7 @@ def _conf(spark, **settings):
 
 
 _SPLIT = {
+    "spark.sql.shuffle.partitions": "8",
     "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "65536",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "65536",
