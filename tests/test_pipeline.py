@@ -22,6 +22,15 @@ def warehouse(spark, tmp_path) -> Warehouse:
     return Warehouse(spark, str(tmp_path / "wh"))
 
 
+@pytest.fixture(scope="module")
+def built(spark, tmp_path_factory):
+    """The compact snapshot, ingested and built once; tests that use it leave its build current."""
+    root = tmp_path_factory.mktemp("built")
+    shared = Warehouse(spark, str(root / "wh"))
+    ingest(shared, write_snapshot(root / "landing", compact_rows()))
+    return shared, build(shared)
+
+
 def test_ingest_reads_nine_text_tables_and_records_state(warehouse, compact_dir):
     result = ingest(warehouse, compact_dir)
     assert (result.tables, result.rows) == (9, 37)
@@ -66,13 +75,10 @@ def test_swapped_columns_break_the_contract(warehouse, tmp_path):
 
 
 def test_missing_files_are_named(warehouse, compact_dir):
-    # An empty directory name stands for a file that never landed.
-    source = Path(compact_dir).parent / "partial"
-    rows = compact_rows()
-    write_snapshot(source, rows)
-    (source / "olist_products_dataset.csv").unlink()
+    (Path(compact_dir) / "olist_products_dataset.csv").unlink()
     with pytest.raises(FileNotFoundError, match="olist_products_dataset.csv"):
-        ingest(warehouse, str(source))
+        ingest(warehouse, compact_dir)
+    assert warehouse.current("ingest") is None
 
 
 def test_quoted_line_breaks_and_doubled_quotes_survive(warehouse, tmp_path):
@@ -107,9 +113,8 @@ def test_build_needs_a_purchase_date(warehouse, tmp_path):
         build(warehouse)
 
 
-def test_build_segments_the_compact_snapshot(warehouse, compact_dir):
-    ingest(warehouse, compact_dir)
-    result = build(warehouse)
+def test_build_segments_the_compact_snapshot(built):
+    warehouse, result = built
     assert result.as_of_date == date(2018, 2, 2)
     assert result.tables_built == 31
     tables = warehouse.tables("build")
@@ -151,24 +156,22 @@ def test_build_segments_the_compact_snapshot(warehouse, compact_dir):
     ) == (2, 150, 2, 152, 2, 2, 2.0, 2, 2, True)
 
 
-def test_the_cut_date_excludes_later_orders_and_a_rebuild_gets_a_new_id(warehouse, compact_dir):
+def test_the_cut_date_excludes_later_orders_and_a_rebuild_gets_a_new_id(warehouse, compact_dir, built):
     ingest(warehouse, compact_dir)
-    first = build(warehouse, date(2018, 1, 31))
+    result = build(warehouse, date(2018, 1, 31))
     people = warehouse.tables("build")["customer_segmentation"].orderBy("customer_unique_id").collect()
     assert [p.customer_unique_id for p in people] == ["u_a", "u_b"]
-    second = build(warehouse, date(2018, 1, 31))
-    assert second.as_of_date == first.as_of_date
-    assert second.build_id != first.build_id
+    assert result.as_of_date == date(2018, 1, 31)
+    assert result.build_id != built[1].build_id
 
 
-def test_a_failing_build_leaves_the_committed_one(warehouse, compact_dir, monkeypatch):
-    ingest(warehouse, compact_dir)
-    first = build(warehouse)
+def test_a_failing_build_leaves_the_committed_one(built, monkeypatch):
+    warehouse, first = built
 
     def broken(*_):
         raise RuntimeError("lost")
 
-    monkeypatch.setattr(pipeline, "seller_performance", broken)
+    monkeypatch.setattr(pipeline, "order_summary", broken)
     with pytest.raises(RuntimeError, match="lost"):
         build(warehouse)
     assert warehouse.current("build")["run_id"] == first.build_id
@@ -203,13 +206,12 @@ def test_negative_values_fail_their_check_and_leave_segmentation(warehouse, tmp_
     assert warehouse.current("export") is None
 
 
-def test_the_gate_counts_the_compact_snapshot(warehouse, compact_dir, tmp_path):
-    ingest(warehouse, compact_dir)
+def test_the_gate_counts_the_compact_snapshot(warehouse, built, tmp_path):
     with pytest.raises(FileNotFoundError, match="ingest y build"):
         validate(warehouse, str(tmp_path / "reports"))
-    built = build(warehouse)
-    result = validate(warehouse, str(tmp_path / "reports"))
-    assert (result.build_id, result.as_of_date) == (built.build_id, "2018-02-02")
+    shared, first = built
+    result = validate(shared, str(tmp_path / "reports"))
+    assert (result.build_id, result.as_of_date) == (first.build_id, "2018-02-02")
     assert (result.checks, result.high_failures, result.medium_warnings) == (15, 0, 1)
 
 
@@ -253,5 +255,5 @@ def test_export_publishes_public_rows_only(spark, threshold_dir, tmp_path):
         check_published(spark, f"{result.path}/public", "customer_cross_segment")
 
 
-def test_export_of_a_small_build_without_publishable_groups(spark, compact_dir, tmp_path):
-    assert run_all(spark, str(tmp_path / "wh"), compact_dir, str(tmp_path / "out")).exported_tables == 8
+def test_export_of_a_small_build_without_publishable_groups(built, tmp_path):
+    assert export(built[0], str(tmp_path / "out")).exported_tables == 8
