@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import bpe, decontaminate, langid, secret_scan, simhash
+from orderlens.llm import bpe, decontaminate, html_text, langid, secret_scan, simhash, warc
 from orderlens.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive(table(spark, sf_dir, "pages"))
+
+
 def op2_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -20,6 +24,10 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op4_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -39,12 +47,30 @@ def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_warc,
         op2_simhash_near_dedup,
         op3_benchmark_decontamination,
+        op4_html_extraction,
         op5_byte_level_bpe,
         op7_language_id,
         op9_secret_scans,
     )
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op1_warc": """
+        with digested as (
+            select page_id, url, octet_length(encode(coalesce(html, ''))) as payload_bytes,
+                   sha256(coalesce(html, '')) as payload_digest
+            from pages),
+        firsts as (
+            select *, case when payload_bytes >= 100
+                           then min(page_id) over (partition by payload_digest) end as first
+            from digested)
+        select page_id, payload_bytes, payload_digest,
+               case when page_id is distinct from first and first is not null then 'revisit' else 'response' end
+                   as record_type,
+               case when page_id is distinct from first then first end as refers_to,
+               url
+        from firsts""",
+}
