@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from orderlens.llm import bpe, decontaminate, html_text, langid, secret_scan, simhash, warc
+from orderlens.llm import (
+    bpe,
+    cover_tree,
+    decontaminate,
+    html_text,
+    langid,
+    licenses,
+    repeats,
+    secret_scan,
+    simhash,
+    warc,
+)
 from orderlens.llm.common import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -35,15 +46,27 @@ def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+def op6_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(table(spark, sf_dir, "documents"))
 
 
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op9_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return secret_scan.scan(docs, secret_scan.learn(docs))
 
 
+def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -52,8 +75,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_benchmark_decontamination,
         op4_html_extraction,
         op5_byte_level_bpe,
+        op6_embedding_near_dedup,
         op7_language_id,
+        op8_license_scans,
         op9_secret_scans,
+        op10_suffix_array_dedup,
     )
 }
 
@@ -73,4 +99,23 @@ ORACLE: dict[str, str] = {
                case when page_id is distinct from first then first end as refers_to,
                url
         from firsts""",
+    "op6_embedding_near_dedup": """
+        with recursive valid as (
+            select vec_id, label, cast(embedding as double[]) as v
+            from embeddings
+            where label is not null and embedding is not null
+              and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+              and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+        links as (
+            select a.vec_id as a, b.vec_id as b
+            from valid a join valid b on a.label = b.label and a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+            where list_cosine_similarity(a.v, b.v) >= 0.93),
+        reach as (
+            select vec_id as a, vec_id as b from embeddings
+            union
+            select reach.a, links.b from reach join links on reach.b = links.a),
+        components as (select a as vec_id, min(b) as component_id from reach group by a),
+        counts as (select a as vec_id, count(*) as n_links from links group by a)
+        select vec_id, coalesce(n_links, 0) as n_links, component_id, vec_id = component_id as kept
+        from embeddings join components using (vec_id) left join counts using (vec_id)""",
 }
