@@ -24,18 +24,21 @@ SEGMENT_LABELS = {
     "UNKNOWN": "Sin categoría conocida",
 }
 
+# Label tables of the published dashboard.
 DIMENSION_LABELS = {
     "VALUE": "Valor de compra",
     "UNITS": "Unidades compradas",
     "CATEGORIES": "Amplitud de categorías",
 }
 
+# Label tables of the published dashboard.
 DELIVERY_STATUS_LABELS = {
     "ON_TIME": "A tiempo",
     "LATE": "Con demora",
     "UNKNOWN": "Sin estado informado",
 }
 
+# Label tables of the published dashboard.
 CATEGORY_LABELS = {
     "agro_industry_and_commerce": "Agroindustria y comercio",
     "air_conditioning": "Climatización",
@@ -120,7 +123,7 @@ def label_or_null(code: Column, labels: Mapping[str, str]) -> Column:
 
 
 def label(code: Column, labels: Mapping[str, str], kind: str) -> Column:
-    """Label of a code; the query fails on the first code without one."""
+    """Label of a code; a query that meets a code without one fails there. ``require_labels`` names all."""
     failure = F.concat(F.lit(f"Faltan traducciones de {kind}: "), F.coalesce(code, F.lit(MISSING)))
     return F.coalesce(label_or_null(code, labels), F.raise_error(failure))
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from orderlens.contracts import VALUE_CUTS
 from orderlens.functions.measures import MONEY, ratio
-from orderlens.operators.prefix_sum import WIDTHS, prefix_sum
+from orderlens.operators.prefix_sum import prefix_sum
 
 
 def value_buckets(rows: DataFrame, value: str) -> DataFrame:
@@ -20,7 +20,7 @@ def value_buckets(rows: DataFrame, value: str) -> DataFrame:
     )
 
 
-def bucket_cumulative(buckets: DataFrame, value: str, widths: Sequence[int] = WIDTHS) -> DataFrame:
+def bucket_cumulative(buckets: DataFrame, value: str, widths: Sequence[int] | None = None) -> DataFrame:
     """Share of the total held by all strictly greater values; NULL where the total is zero."""
     summed = prefix_sum(buckets, value, "bucket_gmv_brl", widths=widths)
     return summed.select(
@@ -32,7 +32,7 @@ def class_floors(
     rows: DataFrame,
     value: str,
     cuts: Sequence[float] = VALUE_CUTS,
-    widths: Sequence[int] = WIDTHS,
+    widths: Sequence[int] | None = None,
 ) -> DataFrame:
     """One row: for each cut, the smallest positive value whose share before it is below the cut.
 
@@ -55,7 +55,7 @@ def abc_class(
     cuts: Sequence[float] = VALUE_CUTS,
     labels: Sequence[str] = ("A_HIGH_VALUE", "B_MEDIUM_VALUE", "C_LOW_VALUE"),
     no_value: str = "NO_VALUE",
-    widths: Sequence[int] = WIDTHS,
+    widths: Sequence[int] | None = None,
 ) -> Column:
     """Class of each row of ``rows``, as an expression over its value column.
 

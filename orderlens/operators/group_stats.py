@@ -61,10 +61,12 @@ def group_median(rows: DataFrame, key: str, columns: Sequence[str], count: str =
     width = high - low
     slice_number = F.when((width > 0) & (width < float("inf")), F.floor((value - low) / width * _SLICES)).otherwise(0)
     group = [key, "which", "size"]
+    # A NULL key is a group too, so joins on the key are null-safe.
+    bracketed = rows.select(key, *columns).join(
+        brackets.drop(count).withColumnRenamed(key, "__key"), F.col(key).eqNullSafe(F.col("__key"))
+    )
     near = (
-        rows.select(key, *columns)
-        .join(brackets.drop(count), key)
-        .select(key, F.posexplode(F.array(*sides)).alias("which", "side"))
+        bracketed.select(key, F.posexplode(F.array(*sides)).alias("which", "side"))
         .filter(value <= high)
         .groupBy(
             key,
@@ -80,7 +82,9 @@ def group_median(rows: DataFrame, key: str, columns: Sequence[str], count: str =
     up_to = W.partitionBy(*group).orderBy("slice").rowsBetween(W.unboundedPreceding, W.currentRow)
     offsets = slices.select(*group, "slice", (F.sum("in_slice").over(up_to) - F.col("in_slice")).alias("before"))
     inside = W.partitionBy(*group, "slice").orderBy("value").rowsBetween(W.unboundedPreceding, W.currentRow)
-    ranked = near.join(offsets, [*group, "slice"]).withColumn("upto", F.col("before") + F.sum("n").over(inside))
+    of_key = offsets.withColumnRenamed(key, "__key")
+    placed = near.join(of_key, ["which", "size", "slice"]).filter(F.col(key).eqNullSafe(F.col("__key")))
+    ranked = placed.withColumn("upto", F.col("before") + F.sum("n").over(inside))
 
     missed = F.raise_error(F.lit("the middle of a group lies outside its bracket"))
     middles = ranked.groupBy(key, "which").agg(
@@ -92,8 +96,12 @@ def group_median(rows: DataFrame, key: str, columns: Sequence[str], count: str =
             for name, rank in (("lower", F.expr("(size + 1) div 2")), ("upper", F.expr("size div 2 + 1")))
         ]
     )
-    halfway = F.col("lower") + (F.col("upper") - F.col("lower")) * 0.5
+    lower, upper = F.col("lower"), F.col("upper")
+    endless = (F.abs(lower) == float("inf")) | (F.abs(upper) == float("inf"))
+    halfway = F.when(lower == upper, lower).when(endless, lower + upper).otherwise(lower + (upper - lower) * 0.5)
     medians = middles.groupBy(key).agg(
         *[F.max(F.when(F.col("which") == i, halfway)).alias(c) for i, c in enumerate(columns)]
     )
-    return brackets.select(key, count).join(medians, key, "left")
+    medians = medians.withColumnRenamed(key, "__key")
+    joined = brackets.select(key, count).join(medians, F.col(key).eqNullSafe(F.col("__key")), "left")
+    return joined.drop("__key")

@@ -4,13 +4,16 @@
 ``floor(v / width)``, the range totals are prefix-summed first (again by this operator when more
 widths are given), and each range is then summed on its own with its offset added. The range is a
 function of the value, so nothing is sampled, equal values stay together, and a recomputed task
-gives the same answer. With one row per distinct value a range holds at most ``width / unit`` rows
-(1,000,000 cents for the default), whatever the number of input rows.
+gives the same answer. With one row per distinct value a range holds at most ``width / unit`` rows.
+The default widths follow the scale of the order column: a million units, then twice a thousand
+ranges, so no task sums more than a million rows while the values spread over less than 10^18 units,
+whatever the number of input rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -18,7 +21,15 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-WIDTHS = (10_000,)
+RANGE_UNITS = 1_000_000
+CASCADE = (1_000, 1_000)
+
+
+def default_widths(kind: T.DataType) -> tuple[Decimal | int, ...]:
+    """A first width of a million units of the type's scale, then widths in ranges."""
+    scale = kind.scale if isinstance(kind, T.DecimalType) else 0
+    width = Decimal(RANGE_UNITS).scaleb(-scale)
+    return (int(width) if width == int(width) else width, *CASCADE)
 
 
 def prefix_sum(
@@ -26,7 +37,7 @@ def prefix_sum(
     order_by: str,
     amount: str,
     partition_by: Sequence[str] = (),
-    widths: Sequence[int] = WIDTHS,
+    widths: Sequence[Decimal | int] | None = None,
     before: str = "sum_before",
     total: str = "sum_total",
 ) -> DataFrame:
@@ -39,6 +50,7 @@ def prefix_sum(
     kind = rows.schema[order_by].dataType
     if not isinstance(kind, (T.DecimalType, T.IntegralType)):
         raise TypeError(f"{order_by} must be an integer or a decimal, not {kind.simpleString()}")
+    widths = default_widths(kind) if widths is None else widths
     keys = list(partition_by)
     rows = rows.filter(F.col(order_by).isNotNull())
     money = rows.schema[amount].dataType

@@ -26,11 +26,15 @@ def _per_order(lines: DataFrame, *keys: str) -> DataFrame:
 
 
 def category_performance(lines: DataFrame, products: DataFrame, ctx: BuildContext) -> DataFrame:
-    """Lines of known products by category. After the reduction every row is one order of the
-    category, so only the people still need a distinct count."""
-    named = lines.join(products.select("product_id", "category_name"), "product_id")
+    """Lines of known products by category. Lines are one row per product, person and order before they
+    meet the products, so a hot product is joined once an order; after the second reduction every row
+    is one order of the category, so only the people still need a distinct count."""
+    reduced = _per_order(lines, "product_id", "customer_unique_id")
+    named = reduced.join(products.select("product_id", "category_name"), "product_id")
+    sums = ["units", "valued", "score_sum", "scored"]
     return (
-        _per_order(named, "category_name", "customer_unique_id")
+        named.groupBy("category_name", "customer_unique_id", "order_id")
+        .agg(F.sum("gmv").cast(MONEY).alias("gmv"), *[F.sum(c).alias(c) for c in sums])
         .groupBy("category_name")
         .agg(
             F.sum("units").alias("units"),

@@ -9,7 +9,7 @@ from dataclasses import asdict, dataclass
 from datetime import date
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.plans.context import resolve_context
@@ -72,14 +72,20 @@ def _write_together(
         return list(pool.map(inheritable_thread_target(warehouse.spark)(write), frames))
 
 
-def ingest(warehouse: Warehouse, source_dir: str, force: bool = False) -> IngestResult:
-    """Load the landing files as text. A committed ingest is returned as it is unless forced."""
+def ingest(
+    warehouse: Warehouse, source_dir: str, force: bool = False, multi_line: bool | None = None
+) -> IngestResult:
+    """Load the landing files as text. A committed ingest is returned as it is unless forced.
+
+    ``multi_line`` allows line breaks inside quotes in every file, not only in those of free text; a
+    file that is read so is one task, so it should land in many parts.
+    """
     done = warehouse.current("ingest")
     if done is not None and not force:
         return IngestResult(done["run_id"], len(done["tables"]), done["row_count"])
     require_contract(warehouse.spark, source_dir)
     run_id = str(uuid.uuid4())
-    landed = read_landing(warehouse.spark, source_dir)
+    landed = read_landing(warehouse.spark, source_dir, multi_line)
     counts = {name: rows for name, _, rows in _write_together(warehouse, "ingest", run_id, landed)}
     warehouse.commit("ingest", run_id, counts)
     return IngestResult(run_id, len(counts), sum(counts.values()))
@@ -106,7 +112,7 @@ def build(warehouse: Warehouse, as_of: date | None = None) -> BuildResult:
     source = warehouse.current("ingest")
     if source is None:
         raise FileNotFoundError("No existe el warehouse. Ejecute primero ingest.")
-    raw = warehouse.tables("ingest")
+    raw = warehouse.tables("ingest", source)
     ctx = resolve_context(raw["raw_orders"], as_of)
     built: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
@@ -147,11 +153,21 @@ def table_count(warehouse: Warehouse) -> int:
     return 0 if ingested is None else len(ingested["tables"]) + 1 + len(delivered)
 
 
-def validate(warehouse: Warehouse, report_dir: str, raise_on_failure: bool = True) -> GateResult:
-    """Write the gate summary and the check listing, then apply the gate."""
-    if warehouse.current("build") is None:
+def _current_build(warehouse: Warehouse) -> Row:
+    run = warehouse.current("build")
+    if run is None:
         raise FileNotFoundError("No existe el warehouse. Ejecute primero ingest y build.")
-    checks = warehouse.tables("build")["quality_checks"]
+    return run
+
+
+def validate(
+    warehouse: Warehouse, report_dir: str, raise_on_failure: bool = True, run: Row | None = None
+) -> GateResult:
+    """Write the gate summary and the check listing of a build, then apply the gate to it.
+
+    ``run`` is a build looked up before; by default the current one.
+    """
+    checks = warehouse.tables("build", run or _current_build(warehouse))["quality_checks"]
     result = gate(checks, raise_on_failure=False)
     report = f"{report_dir}/{result.as_of_date}/{uuid.uuid4()}"
     quality_summary(checks).write.json(f"{report}/summary")
@@ -167,7 +183,7 @@ def _write_exports(tables: Mapping[str, DataFrame], out: str) -> None:
     def write(name: str) -> None:
         write_csv(tables[name], f"{out}/internal/csv/{name}")
         tables[name].write.parquet(f"{out}/internal/parquet/{name}")
-        write_csv(tables[name], f"{out}/internal/spreadsheet/{name[:31]}", spreadsheet=True)
+        write_csv(tables[name], f"{out}/internal/spreadsheet/{name}", spreadsheet=True)
         write_csv(public_rows(tables[name]), f"{out}/public/{name}")
 
     spark = next(iter(tables.values())).sparkSession
@@ -176,10 +192,12 @@ def _write_exports(tables: Mapping[str, DataFrame], out: str) -> None:
 
 
 def export(warehouse: Warehouse, out_dir: str) -> ExportResult:
-    """Publish the current build, through the gate only. The manifest is written last: a folder
-    without one is unfinished."""
-    validation = validate(warehouse, f"{out_dir}/reports")
-    tables = warehouse.tables("build")
+    """Publish the current build, through the gate only. The build is looked up once, so what passes
+    the gate is what is published, whatever is committed meanwhile. The manifest is written last: a
+    folder without one is unfinished."""
+    run = _current_build(warehouse)
+    validation = validate(warehouse, f"{out_dir}/reports", run=run)
+    tables = warehouse.tables("build", run)
     export_id = str(uuid.uuid4())
     out = f"{out_dir}/export_id={export_id}"
     _write_exports(tables, out)

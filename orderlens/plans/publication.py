@@ -63,7 +63,7 @@ def require_dashboard_columns(tables: Mapping[str, DataFrame]) -> None:
 
 
 def require_labels(tables: Mapping[str, DataFrame], categories: Mapping[str, str] = CATEGORY_LABELS) -> None:
-    """Every published code has a label. The error names up to twenty codes that have none."""
+    """Every published code has a label. The error names all codes that have none."""
     published = (
         ("customer_segment_summary", "segment_dimension", DIMENSION_LABELS, "dimensiones de segmento"),
         ("customer_segment_summary", "segment_label", SEGMENT_LABELS, "segmentos"),
@@ -71,9 +71,9 @@ def require_labels(tables: Mapping[str, DataFrame], categories: Mapping[str, str
         ("delivery_experience", "delivery_status", DELIVERY_STATUS_LABELS, "estados de entrega"),
     )
     for name, code, labels, kind in published:
-        missing = unmapped(public_rows(tables[name]), code, labels).orderBy(code).limit(20).collect()
+        missing = [row[code] for row in unmapped(public_rows(tables[name]), code, labels).orderBy(code).toLocalIterator()]
         if missing:
-            raise ValueError(f"Faltan traducciones de {kind}: {', '.join(row[code] for row in missing)}")
+            raise ValueError(f"Faltan traducciones de {kind}: {', '.join(missing)}")
 
 
 def _one_row(parts: list[DataFrame]) -> DataFrame:

@@ -72,9 +72,11 @@ def _observe(table: DataFrame, **checks: Column) -> DataFrame:
     return row.unpivot([], list(checks), "check_id", "observed_value")
 
 
-def _orphans(items: DataFrame, parents: DataFrame, key: str, check_id: str) -> DataFrame:
+def _orphans(reduced: DataFrame, parents: DataFrame, key: str, check_id: str) -> DataFrame:
+    """``reduced`` holds the items' keys with the number of items of each combination."""
+    keyed = reduced.groupBy(key).agg(F.sum("rows").alias("rows"))
     rows = F.coalesce(F.sum("rows"), F.lit(0))
-    return _observe(orphan_rows(items, parents, key), **{check_id: rows})
+    return _observe(keyed.join(parents.select(key), key, "left_anti"), **{check_id: rows})
 
 
 def _reconciliation(segmentation: DataFrame, lines: DataFrame) -> DataFrame:
@@ -94,6 +96,8 @@ def observations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
     orders, items = tables["fct_order"], tables["fct_order_item"]
     segmentation, summary = tables["customer_segmentation"], tables["order_summary"]
+    # One reduction of the items that the three orphan checks share.
+    keys = items.groupBy("order_id", "product_id", "seller_id").agg(F.count("*").alias("rows"))
     unlabelled = F.col("value_segment").isNull() | F.col("unit_segment").isNull() | F.col("category_segment").isNull()
     parts = [
         _observe(
@@ -108,9 +112,9 @@ def observations(tables: Mapping[str, DataFrame]) -> DataFrame:
             order_items_pk_unique=surplus_rows("order_id", "order_item_id"),
             negative_item_values=F.count_if(F.col("item_value_brl") < 0),
         ),
-        _orphans(items, orders, "order_id", "items_without_order"),
-        _orphans(items, tables["dim_product"], "product_id", "items_without_product"),
-        _orphans(items, tables["dim_seller"], "seller_id", "items_without_seller"),
+        _orphans(keys, orders, "order_id", "items_without_order"),
+        _orphans(keys, tables["dim_product"], "product_id", "items_without_product"),
+        _orphans(keys, tables["dim_seller"], "seller_id", "items_without_seller"),
         _observe(
             segmentation,
             customer_segment_unique=surplus_rows("customer_unique_id"),

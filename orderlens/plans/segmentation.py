@@ -13,22 +13,38 @@ from orderlens.plans.lines import eligible_lines
 
 
 def customer_base(lines: DataFrame, products: DataFrame) -> DataFrame:
-    """One row per person over the eligible lines. A line without a product still counts."""
+    """One row per person over the eligible lines. A line without a product still counts.
+
+    Lines are reduced to one row per person and product before they meet the products, and orders are
+    counted from one row per person and order, so no line is copied for a distinct count.
+    """
+    eligible = eligible_lines(lines)
     category = products.select("product_id", "category_name")
     known = F.when(F.col("category_name") != "unknown", F.col("category_name"))
-    return (
-        eligible_lines(lines)
+    bought = (
+        eligible.groupBy("customer_unique_id", "product_id")
+        .agg(
+            F.count("*").alias("units"),
+            F.sum("item_value_brl").cast(MONEY).alias("value"),
+            F.sum("freight_value_brl").cast(MONEY).alias("freight"),
+        )
         .join(category, "product_id", "left")
         .groupBy("customer_unique_id")
         .agg(
-            F.countDistinct("order_id").alias("delivered_orders"),
-            F.count("*").alias("units"),
+            F.sum("units").alias("units"),
             F.countDistinct("product_id").alias("distinct_products"),
             F.countDistinct(known).alias("distinct_categories"),
-            money_sum(F.col("item_value_brl")).alias("merchandise_gmv_brl"),
-            money_sum(F.col("freight_value_brl")).alias("freight_value_brl"),
+            money_sum(F.col("value")).alias("merchandise_gmv_brl"),
+            money_sum(F.col("freight")).alias("freight_value_brl"),
         )
     )
+    ordered = (
+        eligible.groupBy("customer_unique_id", "order_id")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("customer_unique_id")
+        .agg(F.count("order_id").alias("delivered_orders"))
+    )
+    return ordered.join(bought, "customer_unique_id")
 
 
 def customer_segmentation(base: DataFrame, ctx: BuildContext) -> DataFrame:
@@ -114,16 +130,16 @@ def customer_category_affinity(
 ) -> DataFrame:
     """What each value segment buys. All delivered lines of segmented people, of known products.
 
-    Lines are reduced to one row per person and category before they meet the segments, so the
-    people of a group are its rows and need no distinct count.
+    Lines are reduced to one row per person and product before they meet the products, and to one per
+    person and category before they meet the segments, so the people of a group are its rows and need
+    no distinct count.
     """
     bought = (
-        lines.join(products.select("product_id", "category_name"), "product_id")
+        lines.groupBy("customer_unique_id", "product_id")
+        .agg(F.count("*").alias("units"), F.sum("item_value_brl").cast(MONEY).alias("value"))
+        .join(products.select("product_id", "category_name"), "product_id")
         .groupBy("customer_unique_id", "category_name")
-        .agg(
-            F.count("*").alias("units"),
-            F.sum("item_value_brl").cast(MONEY).alias("merchandise_gmv_brl"),
-        )
+        .agg(F.sum("units").alias("units"), F.sum("value").cast(MONEY).alias("merchandise_gmv_brl"))
     )
     return (
         bought.join(segmentation.select("customer_unique_id", "value_segment"), "customer_unique_id")

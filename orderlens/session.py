@@ -4,15 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections import defaultdict
 
 from pyspark.sql import DataFrame, SparkSession
 
+_stored: dict[str, list[str]] = defaultdict(list)
+
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a private one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where none is named, a private folder serves a session that is one process; on a cluster its
+    executors would each write to a disk of their own, so that is refused.
+    """
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         named = context.getConf().get("spark.checkpoint.dir")
+        if not named and not (context.master == "local" or context.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="orderlens-"))
     return context.getCheckpointDir()
 
@@ -21,9 +30,19 @@ def materialize(frame: DataFrame) -> DataFrame:
     """Write a result that several consumers read, and read it back.
 
     As Parquet in the shared folder it outlives executors, each consumer scans only its columns,
-    and later joins are planned from the real size.
+    and later joins are planned from the real size. ``discard`` deletes it.
     """
     spark = frame.sparkSession
     path = f"{scratch_dir(spark)}/materialized-{uuid.uuid4()}"
+    _stored[spark.sparkContext.applicationId].append(path)
     frame.write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
+
+
+def discard(spark: SparkSession) -> int:
+    """Delete what ``materialize`` has stored in this session, once no frame over it is needed; how many."""
+    paths = _stored.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    return len(paths)

@@ -69,14 +69,15 @@ class Warehouse:
             raise
 
     def current(self, kind: str) -> Row | None:
+        """The run of a kind that was committed last; of equal times the one with the greatest id."""
         log = self.log()
         if log is None:
             return None
-        return log.filter(F.col("kind") == kind).orderBy(F.desc("committed_at")).limit(1).first()
+        return log.filter(F.col("kind") == kind).orderBy(F.desc("committed_at"), F.desc("run_id")).limit(1).first()
 
-    def tables(self, kind: str) -> dict[str, DataFrame]:
-        """Tables of the current run of a kind."""
-        run = self.current(kind)
+    def tables(self, kind: str, run: Row | None = None) -> dict[str, DataFrame]:
+        """Tables of a run looked up before, or of the current run of a kind."""
+        run = run or self.current(kind)
         if run is None:
             raise FileNotFoundError(f"No existe el warehouse: falta {kind}.")
         return {name: self.spark.read.parquet(self.path(kind, run["run_id"], name)) for name in run["tables"]}

@@ -6,12 +6,14 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 import time
 from collections import Counter
 from decimal import Decimal
 
 import duckdb
 
+from orderlens.session import discard
 from registry.oracle import ORACLE
 from registry.queries import QUERIES
 
@@ -65,6 +67,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="orderlens-compare-"))
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -80,6 +83,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         checked = "sql " if name in ORACLE else "rows"
         took = time.time() - start
         print(f"{'BAD' if problem else 'ok '} {checked} {name} rows={rows} {took:.1f}s {problem}", flush=True)
+    discard(spark)
     spark.stop()
     return wrong
 

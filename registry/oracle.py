@@ -338,8 +338,8 @@ def month_name(day: str) -> str:
     return f"list_extract({MONTH_NAMES}, cast(month({day}) as integer)) || ' ' || cast(year({day}) as varchar)"
 
 
-def orphans(key: str, kept: str) -> str:
-    return sql(f"select {key}, count(*) as rows from sold where {key} not in ({kept}) group by 1")
+def orphans(key: str, rows: str, others: str) -> str:
+    return sql(f"select {key}, count(*) as rows from {rows} where {key} not in (select {key} from {others}) group by 1")
 
 
 _PART_LABEL = """case category_name when 'economy' then 'Económico' when 'standard' then 'Estándar'
@@ -486,6 +486,11 @@ ORACLE: dict[str, str] = {
            from events e join slots s on s.event_type = e.event_type and place = 1
            group by 1"""
     ),
+    "group_median_of_unknown": sql(
+        """select case when user_id % 3 = 0 then event_type end as known_type, count(*) as events,
+                  median(value) as value
+           from events group by 1"""
+    ),
     "customer_segment_summary": sql(SUMMARY),
     "customer_cross_segment": sql(CROSS),
     "customer_category_affinity": sql(AFFINITY),
@@ -510,9 +515,10 @@ ORACLE: dict[str, str] = {
                       as order_item_product_rows
            from sold"""
     ),
-    "orphan_items_order": orphans("order_id", "select order_id from purchases where order_id % 3 <> 0"),
-    "orphan_items_product": orphans("product_id", "select product_id from goods where product_id % 3 <> 0"),
-    "orphan_items_seller": orphans("seller_id", "select seller_id from shops where seller_id % 3 <> 0"),
+    "orphan_orders_without_items": orphans("order_id", "purchases", "sold"),
+    "orphan_orders_without_reviews": orphans("order_id", "purchases", "scores"),
+    "orphan_reviews_without_order": orphans("order_id", "scores", "purchases"),
+    "orphan_documents_without_labels": orphans("doc_id", "documents", "labels"),
     "invalid_chronology": sql(
         """select order_id, purchased_at, approved_at, delivered_carrier_at, delivered_customer_at
            from purchases where order_id in (select order_id from impossible)"""
@@ -527,7 +533,8 @@ ORACLE: dict[str, str] = {
     "public_category_performance": sql(CATEGORY + ONLY_PUBLIC),
     "public_seller_performance": sql(SELLER + ONLY_PUBLIC),
     "public_delivery_experience": sql(DELIVERY + ONLY_PUBLIC),
-    "public_customer_segmentation": sql(SEGMENTS + ONLY_PUBLIC),
+    "public_quality_checks": sql(CHECKS),
+    "coverage_filter_on_segmentation": sql(SEGMENTS + ONLY_PUBLIC),
     "executive_facts": sql(
         f"""select (select sum(merchandise_gmv_brl) from monthly) as total_gmv_brl,
                    (select cast(sum(customers) as bigint) from summary where segment_dimension = 'VALUE') as customers,
@@ -595,7 +602,8 @@ ORACLE: dict[str, str] = {
         f"""select o_orderkey, {money('o_totalprice')} as currency_text, {whole('floor(o_totalprice)')} as number_text,
                    replace(printf('%.2f', floor(o_totalprice) / 4), '.', ',') as decimal_text,
                    strftime(o_orderdate, '%d/%m/%Y') as day_text, {month_name('o_orderdate')} as month_text,
-                   if(o_orderkey % 2 = 0, {money('o_totalprice')}, 'Sin datos') as gap_text
+                   if(o_orderkey % 2 = 0, {money('o_totalprice')}, 'Sin datos') as gap_text,
+                   'R$ ' || {BRAZILIAN.format(d=1, x='o_totalprice * 1000 / 1000000')} || ' M' as millions_text
             from orders"""
     ),
     "spreadsheet_guard": sql(
@@ -740,4 +748,11 @@ ORACLE: dict[str, str] = {
                    {r('avg_review_score', 'late_delivery_rate')}, coverage_status
             from merchants where coverage_status = 'PUBLISHABLE'"""
     ),
+    "gate_of_a_run": sql(
+        """select count(*) as checks,
+                  count(case when status = 'FAIL' and severity = 'HIGH' then 1 end) as high_failures,
+                  count(case when status = 'FAIL' and severity = 'MEDIUM' then 1 end) as medium_warnings,
+                  count(case when status = 'FAIL' and severity = 'HIGH' then 1 end) = 0 as exported
+           from checks"""
+    ),
 }

@@ -26,10 +26,11 @@ from orderlens.operators.prefix_sum import prefix_sum
 from orderlens.plans import lines as lines_plan
 from orderlens.plans import metrics, model, orders, performance, publication, quality, segmentation
 from orderlens.plans.context import BuildContext, last_purchase_date
-from orderlens.plans.pipeline import CONCURRENT_WRITES, build, ingest
+from orderlens.plans.pipeline import CONCURRENT_WRITES, build, export, ingest, validate
+from orderlens.plans.quality import PublicationBlocked
 from orderlens.session import materialize, scratch_dir
 from orderlens.sources.landing import landing_manifest, snapshot_manifest
-from orderlens.sources.published import check_published, read_published, write_csv
+from orderlens.sources.published import check_all_published, check_published, read_published, write_csv
 from orderlens.sources.sample import Sample
 from orderlens.sources.warehouse import Warehouse
 
@@ -71,7 +72,13 @@ class Canonical:
         return lines_plan.delivered_lines(self["order_summary"], self.sample.items(), self.ctx)
 
     def _customer_base(self):
-        return segmentation.customer_base(self["delivered_lines"], self.sample.products())
+        return segmentation.customer_base(self["stored_lines"], self.sample.products())
+
+    def _stored_summary(self):
+        return materialize(self["order_summary"])
+
+    def _stored_lines(self):
+        return materialize(self["delivered_lines"])
 
     def _stored_base(self):
         return materialize(self["customer_base"])
@@ -93,14 +100,14 @@ class Canonical:
 
     def _customer_category_affinity(self):
         return segmentation.customer_category_affinity(
-            self["delivered_lines"], self.sample.products(), self["customer_segmentation"], self.ctx
+            self["stored_lines"], self.sample.products(), self["customer_segmentation"], self.ctx
         )
 
     def _category_performance(self):
-        return performance.category_performance(self["delivered_lines"], self.sample.products(), self.ctx)
+        return performance.category_performance(self["stored_lines"], self.sample.products(), self.ctx)
 
     def _seller_performance(self):
-        return performance.seller_performance(self["delivered_lines"], self.sample.sellers(), self.ctx)
+        return performance.seller_performance(self["stored_lines"], self.sample.sellers(), self.ctx)
 
     def _quality_checks(self):
         """The summary holds every column and row of the orders and feeds the lines as well, so it is
@@ -118,7 +125,7 @@ class Canonical:
                 "dim_seller": s.sellers(),
                 "order_summary": summary,
                 "customer_segmentation": self["customer_segmentation"],
-                "delivered_lines": self["delivered_lines"],
+                "delivered_lines": self["stored_lines"],
             },
             self.ctx,
         )
@@ -245,19 +252,25 @@ def _group_stats(spark, sf_dir):
         "event_type", "value", F.col("user_id").cast("double").alias("user_number"), (F.col("user_id") % 7).alias("slot")
     )
     medians = group_median(events, "event_type", ["value", "user_number"], count="events")
-    return medians.join(group_mode(events, "event_type", ["slot"]), "event_type")
+    return medians.join(group_mode(events, "event_type", ["slot"]), "event_type", "left")
+
+
+def _group_median_of_unknown(spark, sf_dir):
+    """Medians where a key is NULL: the events of two users in three have no group of their own."""
+    events = Sample(spark, sf_dir).read("events")
+    keyed = events.select(F.when(F.col("user_id") % 3 == 0, F.col("event_type")).alias("known_type"), "value")
+    return group_median(keyed, "known_type", ["value"], count="events")
 
 
 # quality
 
 
-def _orphans(key: str, parents: Callable[[Sample], DataFrame]):
-    """Items against a dimension with a third of its keys left out."""
+def _orphans(key: str, rows: Callable[[Sample], DataFrame], parents: Callable[[Sample], DataFrame]):
+    """Rows whose key the other table does not have, by key."""
 
     def run(spark, sf_dir):
         s = Sample(spark, sf_dir)
-        kept = parents(s).filter(F.col(key) % 3 != 0)
-        return quality.orphan_rows(s.items(), kept, key)
+        return quality.orphan_rows(rows(s), parents(s), key)
 
     return run
 
@@ -297,14 +310,18 @@ def _check_listing(spark, sf_dir):
 
 
 def _executive_facts(spark, sf_dir):
-    tables = Canonical(spark, sf_dir).tables(
+    canonical = Canonical(spark, sf_dir)
+    canonical._built["order_summary"] = canonical["stored_summary"]
+    tables = canonical.tables(
         "executive_monthly", "customer_segment_summary", "category_performance", "delivery_experience"
     )
     return _rounded(publication.executive_facts(tables))
 
 
 def _headline_kpis(spark, sf_dir):
-    tables = Canonical(spark, sf_dir).tables("executive_monthly", "customer_segment_summary")
+    canonical = Canonical(spark, sf_dir)
+    canonical._built["order_summary"] = canonical["stored_summary"]
+    tables = canonical.tables("executive_monthly", "customer_segment_summary")
     return publication.headline_kpis(tables)
 
 
@@ -338,6 +355,7 @@ def _display_text(spark, sf_dir):
         display.day(F.col("o_orderdate").cast("date")).alias("day_text"),
         display.month_label(F.col("o_orderdate").cast("date")).alias("month_text"),
         display.currency(F.when(F.col("o_orderkey") % 2 == 0, price)).alias("gap_text"),
+        display.money_millions(price * 1000).alias("millions_text"),
     )
 
 
@@ -354,7 +372,7 @@ def _spreadsheet_guard(spark, sf_dir):
 
 def _suppressed_rows(spark, sf_dir):
     canonical = Canonical(spark, sf_dir)
-    canonical._built["order_summary"] = materialize(canonical["order_summary"])
+    canonical._built["order_summary"] = canonical["stored_summary"]
     suppressed = metrics.suppressed_rows(canonical.tables(*metrics.COVERED_TABLES))
     return suppressed.withColumnRenamed(metrics.SUPPRESSED_ROWS, "filas_suprimidas")
 
@@ -445,6 +463,21 @@ def _pipeline_mart(name: str):
     return run
 
 
+def _gate_of_a_run(spark, sf_dir):
+    """What the gate says of a whole run, and whether an export got through it."""
+    warehouse, folder = _ingested(spark, sf_dir)
+    build(warehouse, CONTEXT.as_of)
+    result = validate(warehouse, f"{folder}/reports", raise_on_failure=False)
+    try:
+        published = f"{export(warehouse, f'{folder}/published').path}/public"
+        check_all_published(spark, published, may_be_empty=True)
+        exported = True
+    except PublicationBlocked:
+        exported = False
+    row = (result.checks, result.high_failures, result.medium_warnings, exported)
+    return spark.createDataFrame([row], "checks long, high_failures long, medium_warnings long, exported boolean")
+
+
 def _landing_manifest(spark, sf_dir):
     return landing_manifest(spark, sf_dir, "*.parquet").select("file", "bytes", "sha256")
 
@@ -488,6 +521,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "abc_of_suppliers": _abc_of_suppliers,
     "prefix_by_state": _prefix_by_state,
     "group_stats": _group_stats,
+    "group_median_of_unknown": _group_median_of_unknown,
     "customer_segment_summary": _table("customer_segment_summary"),
     "customer_cross_segment": _table("customer_cross_segment"),
     "customer_category_affinity": _table("customer_category_affinity"),
@@ -500,9 +534,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "quality_summary": _quality_summary,
     "check_listing": _check_listing,
     "key_surplus": _key_surplus,
-    "orphan_items_order": _orphans("order_id", lambda s: s.order_times()),
-    "orphan_items_product": _orphans("product_id", lambda s: s.products()),
-    "orphan_items_seller": _orphans("seller_id", lambda s: s.sellers()),
+    "orphan_orders_without_items": _orphans("order_id", lambda s: s.order_times(), lambda s: s.items()),
+    "orphan_orders_without_reviews": _orphans("order_id", lambda s: s.order_times(), lambda s: s.reviews()),
+    "orphan_reviews_without_order": _orphans("order_id", lambda s: s.reviews(), lambda s: s.order_times()),
+    "orphan_documents_without_labels": _orphans("doc_id", lambda s: s.read("documents"), lambda s: s.read("labels")),
     "invalid_chronology": _invalid_chronology,
     "payment_differences": _payment_differences,
     # publication
@@ -513,7 +548,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "public_category_performance": _public("category_performance"),
     "public_seller_performance": _public("seller_performance"),
     "public_delivery_experience": _public("delivery_experience"),
-    "public_customer_segmentation": _public("customer_segmentation"),
+    "public_quality_checks": _public("quality_checks"),
+    "coverage_filter_on_segmentation": _public("customer_segmentation"),
     "executive_facts": _executive_facts,
     "headline_kpis": _headline_kpis,
     "monthly_series": _dataset(publication.monthly_series, "executive_monthly"),
@@ -585,6 +621,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingested_order_items": _ingested_order_items,
     "pipeline_segment_summary": _pipeline_mart("customer_segment_summary"),
     "published_roundtrip": _published_roundtrip,
+    "gate_of_a_run": _gate_of_a_run,
     "landing_manifest": _landing_manifest,
     "snapshot_manifest": _snapshot_manifest,
 }

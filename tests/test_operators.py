@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from orderlens.operators.abc import abc_class, bucket_cumulative, class_floors, value_buckets
 from orderlens.operators.group_stats import group_median, group_mode
-from orderlens.operators.prefix_sum import prefix_sum
-from orderlens.session import materialize, scratch_dir
+from orderlens.operators.prefix_sum import default_widths, prefix_sum
+from orderlens.session import discard, materialize, scratch_dir
 
 _MONEY = "value decimal(18,2)"
 
@@ -65,6 +65,22 @@ def test_only_range_totals_meet_in_one_partition(spark):
     assert "__range_1" in single
 
 
+@pytest.mark.parametrize(("scale", "spread"), [(2, 10**12), (6, 10**8), (0, 10**15)])
+def test_no_level_of_a_prefix_sum_holds_many_rows(spark, scale, spread):
+    """Whatever the scale and spread: units of a range, ranges of a range, and ranges at the top."""
+    rng = random.Random(scale)
+    kind = f"decimal(38,{scale})"
+    values = [rng.randint(0, spread * 10**scale) for _ in range(2_000)]
+    values += [values[0] + i for i in range(500)]
+    numbers = sorted({Decimal(v).scaleb(-scale) for v in values})
+    rows = spark.createDataFrame([(v, Decimal(1)) for v in numbers], f"value {kind}, amount decimal(38,2)")
+    widths = default_widths(rows.schema["value"].dataType)
+    assert widths[0] * 10**scale == 1_000_000
+    assert spread * 10**scale / 1_000_000 / widths[1] / widths[2] <= 1_000_000
+    got = {r.value: r.sum_before for r in prefix_sum(rows, "value", "amount").collect()}
+    assert got == {v: len(numbers) - 1 - i for i, v in enumerate(numbers)}
+
+
 def _classes(values):
     """Class of each distinct value by the rule itself."""
     total, before, classes = sum(values), 0, {}
@@ -135,6 +151,19 @@ def test_medians_are_exact_in_small_and_hot_groups(spark):
     assert (got[61].n, got[61].a, got[61].b) == (2, None, 1.0)
 
 
+def test_medians_of_unknown_keys_and_endless_values(spark):
+    """As Spark's own median has them, which gathers each group in one place."""
+    inf, nan = float("inf"), float("nan")
+    groups = {
+        None: [1.0, 3.0], "up": [inf, inf], "down": [-inf, 5.0], "over": [2.0, inf], "both": [-inf, inf], "none": [None, None],
+        "strange": [1.0, 2.0, nan], "last": [1.0, nan],
+    }
+    frame = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    got = {r.k: (r.n, repr(r.v)) for r in group_median(frame, "k", ["v"], count="n").collect()}
+    own = frame.groupBy("k").agg(F.count("*").alias("n"), F.median("v").alias("v")).collect()
+    assert got == {r.k: (r.n, repr(r.v)) for r in own}
+
+
 def test_modes_take_the_smallest_of_ties(spark):
     rng = random.Random(6)
     rows = [(k, rng.choice("abcd"), rng.choice(["x", "y", None])) for k in range(5) for _ in range(40)]
@@ -155,3 +184,36 @@ def test_materialize_uses_the_shared_folder(spark):
     frame = materialize(spark.range(0, 5, 1, 2).withColumn("d", F.lit("1.50").cast("decimal(38,2)")))
     assert frame.count() == 5
     assert frame.schema["d"].dataType.simpleString() == "decimal(38,2)"
+
+
+class _Session:
+    """As much of a session as naming a scratch folder needs."""
+
+    def __init__(self, master):
+        self.sparkContext = self
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+    def getConf(self):
+        return {}
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            scratch_dir(_Session(master))
+    assert "orderlens-" in scratch_dir(_Session("local[2]"))
+
+
+def test_stored_steps_can_be_discarded(spark):
+    frame = materialize(spark.range(3))
+    path = frame.inputFiles()[0]
+    assert discard(spark) > 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND|does not exist"):
+        spark.read.parquet(path).count()
+    assert discard(spark) == 0

@@ -13,6 +13,16 @@ from registry.queries import QUERIES
 
 SAMPLE = os.environ.get("ORDERLENS_SAMPLE", "/root/testdata/sf0.001")
 
+# On the smallest sample these may have nothing to show.
+MAY_BE_EMPTY = {
+    "invalid_chronology",
+    "unmapped_categories",
+    "orphan_reviews_without_order",
+    "public_customer_cross_segment",
+    "public_seller_performance",
+    "published_roundtrip",
+}
+
 pytestmark = pytest.mark.skipif(not os.path.isdir(SAMPLE), reason="needs the sample tables")
 
 
@@ -23,6 +33,7 @@ def connection():
 
 def test_every_query_has_sql_unless_sql_cannot_say_it():
     assert set(QUERIES) - set(ORACLE) == {"landing_manifest", "snapshot_manifest"}
+    assert set(QUERIES) >= MAY_BE_EMPTY
     assert set(ORACLE) <= set(QUERIES)
 
 
@@ -44,4 +55,4 @@ def test_query_equals_its_sql(spark, connection, name):
     _check_plan(frame, name)
     problem, rows = difference(connection, name, frame)
     assert not problem
-    assert rows >= 0
+    assert rows > 0 or name in MAY_BE_EMPTY

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import csv
 from datetime import date
 from pathlib import Path
 
@@ -12,9 +11,9 @@ from pyspark.sql import functions as F
 from orderlens.plans import pipeline
 from orderlens.plans.pipeline import build, export, ingest, run_all, validate
 from orderlens.plans.quality import PublicationBlocked
-from orderlens.sources.published import PUBLISHED_SCHEMAS, check_published, read_published
+from orderlens.sources.published import PUBLISHED_SCHEMAS, check_all_published, check_published, read_published
 from orderlens.sources.warehouse import Warehouse
-from tests.conftest import compact_rows, write_snapshot
+from tests.conftest import find, land, story_rows
 
 
 @pytest.fixture
@@ -24,78 +23,74 @@ def warehouse(spark, tmp_path) -> Warehouse:
 
 @pytest.fixture(scope="module")
 def built(spark, tmp_path_factory):
-    """The compact snapshot, ingested and built once; tests that use it leave its build current."""
+    """The story, ingested and built once; tests that use it leave its build current."""
     root = tmp_path_factory.mktemp("built")
     shared = Warehouse(spark, str(root / "wh"))
-    ingest(shared, write_snapshot(root / "landing", compact_rows()))
+    ingest(shared, land(root / "landing", story_rows()))
     return shared, build(shared)
 
 
-def test_ingest_reads_nine_text_tables_and_records_state(warehouse, compact_dir):
-    result = ingest(warehouse, compact_dir)
-    assert (result.tables, result.rows) == (9, 37)
+def test_ingest_reads_nine_text_tables_and_records_state(warehouse, story_dir):
+    result = ingest(warehouse, story_dir)
+    assert (result.tables, result.rows) == (9, 42)
     raw = warehouse.tables("ingest")
     assert len(raw) == 9
     assert {kind for frame in raw.values() for _, kind in frame.dtypes} == {"string"}
     state = warehouse.ingest_state().collect()
     assert [(s.ingest_run_id, s.schema_version, s.source_tables, s.source_rows) for s in state] == [
-        (result.ingest_run_id, "1.0.0", 9, 37)
+        (result.ingest_run_id, "1.0.0", 9, 42)
     ]
 
 
-def test_ingest_is_idempotent_until_forced(warehouse, compact_dir):
-    first = ingest(warehouse, compact_dir)
-    assert ingest(warehouse, compact_dir) == first
-    forced = ingest(warehouse, compact_dir, force=True)
+def test_ingest_is_idempotent_until_forced(warehouse, story_dir):
+    first = ingest(warehouse, story_dir)
+    assert ingest(warehouse, story_dir) == first
+    forced = ingest(warehouse, story_dir, force=True)
     assert forced.ingest_run_id != first.ingest_run_id
     assert forced.rows == first.rows
     assert warehouse.current("ingest")["run_id"] == forced.ingest_run_id
 
 
-def test_a_broken_header_leaves_the_committed_ingest(warehouse, compact_dir):
-    first = ingest(warehouse, compact_dir)
-    orders = Path(compact_dir) / "olist_orders_dataset.csv"
-    rows = list(csv.reader(orders.open(encoding="utf-8", newline="")))
-    rows[0][-1] = "wrong_column"
-    with orders.open("w", encoding="utf-8", newline="") as target:
-        csv.writer(target).writerows(rows)
+def test_a_broken_header_leaves_the_committed_ingest(warehouse, story_dir):
+    first = ingest(warehouse, story_dir)
+    file = Path(story_dir) / "olist_orders_dataset.csv"
+    file.write_text(file.read_text().replace("order_estimated_delivery_date", "order_promised", 1))
     with pytest.raises(ValueError, match="Contrato incompatible en raw_orders"):
-        ingest(warehouse, compact_dir, force=True)
+        ingest(warehouse, story_dir, force=True)
     assert warehouse.current("ingest")["run_id"] == first.ingest_run_id
 
 
 def test_swapped_columns_break_the_contract(warehouse, tmp_path):
-    rows = compact_rows()
-    source = write_snapshot(tmp_path / "landing", rows)
-    sellers = Path(source) / "olist_sellers_dataset.csv"
-    sellers.write_text("seller_zip_code_prefix,seller_id,seller_city,seller_state\n1000,s_1,x,sp\n", encoding="utf-8")
+    source = land(tmp_path / "landing", story_rows())
+    file = Path(source) / "olist_sellers_dataset.csv"
+    file.write_text(file.read_text().replace("seller_city,seller_state", "seller_state,seller_city"))
     with pytest.raises(ValueError, match="raw_sellers"):
         ingest(warehouse, source)
     assert warehouse.current("ingest") is None
 
 
-def test_missing_files_are_named(warehouse, compact_dir):
-    (Path(compact_dir) / "olist_products_dataset.csv").unlink()
+def test_missing_files_are_named(warehouse, story_dir):
+    (Path(story_dir) / "olist_products_dataset.csv").unlink()
     with pytest.raises(FileNotFoundError, match="olist_products_dataset.csv"):
-        ingest(warehouse, compact_dir)
+        ingest(warehouse, story_dir)
     assert warehouse.current("ingest") is None
 
 
 def test_quoted_line_breaks_and_doubled_quotes_survive(warehouse, tmp_path):
-    rows = compact_rows()
-    rows["raw_order_reviews"][0][4] = 'first "line"\nsecond, line'
-    ingest(warehouse, write_snapshot(tmp_path / "landing", rows))
+    rows = story_rows()
+    find(rows, "raw_order_reviews", review_id="r101-1")["review_comment_message"] = 'first "line"\nsecond, line'
+    ingest(warehouse, land(tmp_path / "landing", rows))
     reviews = warehouse.tables("ingest")["raw_order_reviews"]
-    text = reviews.filter(F.col("review_id") == "r_a").first()["review_comment_message"]
+    text = reviews.filter(F.col("review_id") == "r101-1").first()["review_comment_message"]
     assert text == 'first "line"\nsecond, line'
-    assert reviews.count() == 5
+    assert reviews.count() == 6
 
 
-def test_a_row_of_another_width_fails_the_ingest(warehouse, compact_dir):
-    with (Path(compact_dir) / "olist_sellers_dataset.csv").open("a", encoding="utf-8") as target:
-        target.write("s_2,1000\n")
+def test_a_row_of_another_width_fails_the_ingest(warehouse, story_dir):
+    with (Path(story_dir) / "olist_sellers_dataset.csv").open("a", encoding="utf-8") as target:
+        target.write("s8,4000\n")
     with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
-        ingest(warehouse, compact_dir)
+        ingest(warehouse, story_dir)
     assert warehouse.current("ingest") is None
 
 
@@ -105,21 +100,21 @@ def test_build_needs_an_ingest(warehouse):
 
 
 def test_build_needs_a_purchase_date(warehouse, tmp_path):
-    rows = compact_rows()
+    rows = story_rows()
     for order in rows["raw_orders"]:
-        order[3] = "someday"
-    ingest(warehouse, write_snapshot(tmp_path / "landing", rows))
+        order["order_purchase_timestamp"] = "someday"
+    ingest(warehouse, land(tmp_path / "landing", rows))
     with pytest.raises(ValueError, match="fecha de corte"):
         build(warehouse)
 
 
-def test_build_segments_the_compact_snapshot(built):
+def test_build_segments_the_story(built):
     warehouse, result = built
-    assert result.as_of_date == date(2018, 2, 2)
+    assert result.as_of_date == date(2019, 4, 8)
     assert result.tables_built == 31
     tables = warehouse.tables("build")
     context = tables["build_context"].first()
-    assert (context.build_id, context.as_of_date) == (result.build_id, date(2018, 2, 2))
+    assert (context.build_id, context.as_of_date) == (result.build_id, date(2019, 4, 8))
     assert (context.schema_version, context.segmentation_version) == ("1.0.0", "CUSTOMER_VALUE_VOLUME_BREADTH_V1")
     segments = tables["customer_segmentation"].orderBy("customer_unique_id").collect()
     assert [
@@ -133,35 +128,28 @@ def test_build_segments_the_compact_snapshot(built):
         )
         for s in segments
     ] == [
-        ("u_a", "A_HIGH_VALUE", "ONE_ITEM", "SPECIALIST", "PUBLISHABLE", 800),
-        ("u_b", "B_MEDIUM_VALUE", "TWO_TO_THREE", "MIXED", "PUBLISHABLE", 150),
-        ("u_c", "C_LOW_VALUE", "FOUR_PLUS", "DIVERSIFIED", "PUBLISHABLE", 40),
-        ("u_zero", "NO_VALUE", "ONE_ITEM", "UNKNOWN", "DIRECTIONAL", 0),
+        ("ivo", "B_MEDIUM_VALUE", "TWO_TO_THREE", "MIXED", "PUBLISHABLE", 140),
+        ("lia", "C_LOW_VALUE", "FOUR_PLUS", "DIVERSIFIED", "PUBLISHABLE", 40),
+        ("nora", "A_HIGH_VALUE", "TWO_TO_THREE", "SPECIALIST", "PUBLISHABLE", 820),
+        ("tom", "NO_VALUE", "ONE_ITEM", "UNKNOWN", "DIRECTIONAL", 0),
     ]
-    place = tables["dim_geography"].filter("zip_code_prefix = 1000").first()
-    assert (place.latitude, place.longitude) == pytest.approx((-23.55, -46.65))
-    assert (place.city, place.state, place.source_points) == ("sao paulo", "SP", 2)
-    order = tables["order_summary"].filter("order_id = 'o_b'").first()
-    assert (
-        order.units,
-        order.merchandise_gmv_brl,
-        order.freight_value_brl,
-        order.paid_value_brl,
-        order.payment_rows,
-        order.payment_methods,
-        order.review_score,
-        order.review_rows,
-        order.delivery_delay_days,
-        order.is_late,
-    ) == (2, 150, 2, 152, 2, 2, 2.0, 2, 2, True)
-
-
-def test_the_cut_date_excludes_later_orders_and_a_rebuild_gets_a_new_id(warehouse, compact_dir, built):
-    ingest(warehouse, compact_dir)
-    result = build(warehouse, date(2018, 1, 31))
+    place = tables["dim_geography"].filter("zip_code_prefix = 4000").first()
+    assert (place.latitude, place.longitude) == pytest.approx((11.0, 22.0))
+    assert (place.city, place.state, place.source_points) == ("porto claro", "PC", 2)
+    by_order = {o.order_id: o for o in tables["order_summary"].collect()}
+    late, split = by_order["o201"], by_order["o102"]
+    assert (late.units, late.merchandise_gmv_brl, late.freight_value_brl, late.paid_value_brl) == (2, 140, 10, 150)
+    assert (late.review_score, late.review_rows, late.delivery_delay_days, late.is_late) == (2.5, 2, 3, True)
+    assert (split.paid_value_brl, split.payment_rows, split.payment_methods) == (320, 2, 2)
+    assert (split.delivery_delay_days, split.is_late) == (-2, False)
+
+
+def test_the_cut_date_excludes_later_orders_and_a_rebuild_gets_a_new_id(warehouse, story_dir, built):
+    ingest(warehouse, story_dir)
+    result = build(warehouse, date(2019, 3, 31))
     people = warehouse.tables("build")["customer_segmentation"].orderBy("customer_unique_id").collect()
-    assert [p.customer_unique_id for p in people] == ["u_a", "u_b"]
-    assert result.as_of_date == date(2018, 1, 31)
+    assert [p.customer_unique_id for p in people] == ["ivo", "nora"]
+    assert result.as_of_date == date(2019, 3, 31)
     assert result.build_id != built[1].build_id
 
 
@@ -179,9 +167,9 @@ def test_a_failing_build_leaves_the_committed_one(built, monkeypatch):
 
 
 def test_negative_values_fail_their_check_and_leave_segmentation(warehouse, tmp_path):
-    rows = compact_rows()
-    rows["raw_order_items"][-1][5] = "-1"
-    ingest(warehouse, write_snapshot(tmp_path / "landing", rows))
+    rows = story_rows()
+    find(rows, "raw_order_items", order_id="o401")["price"] = "-1"
+    ingest(warehouse, land(tmp_path / "landing", rows))
     build(warehouse)
     tables = warehouse.tables("build")
     status = {c.check_id: c.status for c in tables["quality_checks"].collect()}
@@ -195,28 +183,28 @@ def test_negative_values_fail_their_check_and_leave_segmentation(warehouse, tmp_
         "customer_gmv_reconciliation",
     ):
         assert status[check] == "PASS"
-    assert tables["customer_segmentation"].filter("customer_unique_id = 'u_zero'").count() == 0
+    assert tables["customer_segmentation"].filter("customer_unique_id = 'tom'").count() == 0
     with pytest.raises(PublicationBlocked, match="1 controles HIGH"):
         validate(warehouse, str(tmp_path / "reports"))
     # The report is kept, and the gate can be asked not to raise.
-    assert list((tmp_path / "reports" / "2018-02-02").iterdir())
+    assert list((tmp_path / "reports" / "2019-04-08").iterdir())
     assert validate(warehouse, str(tmp_path / "reports"), raise_on_failure=False).high_failures == 1
     with pytest.raises(PublicationBlocked):
         export(warehouse, str(tmp_path / "out"))
     assert warehouse.current("export") is None
 
 
-def test_the_gate_counts_the_compact_snapshot(warehouse, built, tmp_path):
+def test_the_gate_counts_the_story(warehouse, built, tmp_path):
     with pytest.raises(FileNotFoundError, match="ingest y build"):
         validate(warehouse, str(tmp_path / "reports"))
     shared, first = built
     result = validate(shared, str(tmp_path / "reports"))
-    assert (result.build_id, result.as_of_date) == (first.build_id, "2018-02-02")
+    assert (result.build_id, result.as_of_date) == (first.build_id, "2019-04-08")
     assert (result.checks, result.high_failures, result.medium_warnings) == (15, 0, 1)
 
 
-def test_coverage_is_judged_at_the_business_grain(warehouse, threshold_dir):
-    ingest(warehouse, threshold_dir)
+def test_coverage_is_judged_at_the_business_grain(warehouse, crowd_dir):
+    ingest(warehouse, crowd_dir)
     build(warehouse)
     tables = warehouse.tables("build")
     category = tables["category_performance"].first()
@@ -234,9 +222,9 @@ def test_coverage_is_judged_at_the_business_grain(warehouse, threshold_dir):
     assert tables["quality_checks"].filter("severity = 'HIGH' and status = 'FAIL'").count() == 0
 
 
-def test_export_publishes_public_rows_only(spark, threshold_dir, tmp_path):
-    result = run_all(spark, str(tmp_path / "wh"), threshold_dir, str(tmp_path / "out"))
-    assert result.as_of_date == "2018-01-01"
+def test_export_publishes_public_rows_only(spark, crowd_dir, tmp_path):
+    result = run_all(spark, str(tmp_path / "wh"), crowd_dir, str(tmp_path / "out"))
+    assert result.as_of_date == "2019-06-03"
     assert result.exported_tables == 8
     assert result.exported_rows > 0
     manifest = spark.read.json(f"{result.path}/manifest").first().asDict(recursive=True)
@@ -249,7 +237,7 @@ def test_export_publishes_public_rows_only(spark, threshold_dir, tmp_path):
         for part in Path(result.path, "public", name).glob("*.csv"):
             assert "SUPPRESSED" not in part.read_text(encoding="utf-8")
     published = read_published(spark, f"{result.path}/public", "category_performance").collect()
-    assert [(p.category_name, p.orders, p.merchandise_gmv_brl) for p in published] == [("home", 60, 2370.0)]
+    assert [(p.category_name, p.orders, p.merchandise_gmv_brl) for p in published] == [("kites", 60, 3840.0)]
     assert check_published(spark, f"{result.path}/public", "delivery_experience").rows == 2
     with pytest.raises(ValueError, match="no contiene filas"):
         check_published(spark, f"{result.path}/public", "customer_cross_segment")
@@ -257,3 +245,53 @@ def test_export_publishes_public_rows_only(spark, threshold_dir, tmp_path):
 
 def test_export_of_a_small_build_without_publishable_groups(built, tmp_path):
     assert export(built[0], str(tmp_path / "out")).exported_tables == 8
+
+
+def test_line_breaks_are_allowed_where_asked_for(warehouse, tmp_path):
+    rows = story_rows()
+    find(rows, "raw_customers", customer_id="c101")["customer_city"] = "porto\nclaro"
+    source = land(tmp_path / "landing", rows)
+    with pytest.raises(Exception, match="MALFORMED_RECORD|Malformed"):
+        ingest(warehouse, source)
+    assert ingest(warehouse, source, multi_line=True).rows == 42
+    city = warehouse.tables("ingest")["raw_customers"].filter("customer_id = 'c101'").first()["customer_city"]
+    assert city == "porto\nclaro"
+
+
+def test_what_passed_the_gate_is_what_is_published(warehouse, crowd_dir, tmp_path, monkeypatch):
+    """A failing build that is committed between the gate and the reading of the tables is not published."""
+    ingest(warehouse, crowd_dir)
+    gated = build(warehouse)
+    passed = pipeline.validate
+
+    def then_another(*args, **named):
+        result = passed(*args, **named)
+        run = warehouse.current("build")
+        for name, frame in warehouse.tables("build", run).items():
+            if name == "quality_checks":
+                frame = frame.withColumn("status", F.lit("FAIL"))
+            warehouse.write("build", "other", name, frame)
+        warehouse.commit("build", "other", dict.fromkeys(run["tables"], 1), as_of=run["as_of_date"])
+        return result
+
+    monkeypatch.setattr(pipeline, "validate", then_another)
+    result = export(warehouse, str(tmp_path / "out"))
+    assert warehouse.current("build")["run_id"] == "other"
+    assert result.build_id == gated.build_id
+    checks = read_published(warehouse.spark, f"{result.path}/public", "quality_checks").collect()
+    assert {c.build_id for c in checks} == {gated.build_id}
+    assert "PASS" in {c.status for c in checks}
+
+
+def test_all_published_tables_are_checked_at_once(built, tmp_path):
+    public = f"{export(built[0], str(tmp_path / 'out')).path}/public"
+    spark = built[0].spark
+    assert {r.table for r in check_all_published(spark, public, may_be_empty=True)} == set(PUBLISHED_SCHEMAS)
+    with pytest.raises(ValueError, match="seller_performance.*no contiene filas|no contiene filas: seller_performance"):
+        check_all_published(spark, public)
+    part = next(Path(public, "executive_monthly").glob("*.csv"))
+    text = part.read_text(encoding="utf-8").replace("2019-03-01", "March", 1)
+    part.with_name(f".{part.name}.crc").unlink()
+    part.write_text(text, encoding="utf-8")
+    with pytest.raises(ValueError, match=r"executive_monthly: month_start \(1: 'March'\)"):
+        check_all_published(spark, public, may_be_empty=True)

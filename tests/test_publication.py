@@ -284,3 +284,11 @@ def test_measures_reproduce_the_published_results(spark):
         .distinct()
     )
     assert sums.count() == 1
+
+
+def test_every_unmapped_code_is_named(spark):
+    codes = [f"category-{n:02d}" for n in range(25)]
+    tables = _frames(spark, category_performance=[(code, 1.0, 40, "PUBLISHABLE") for code in codes])
+    with pytest.raises(ValueError, match="Faltan traducciones de categorías") as error:
+        publication.require_labels(tables)
+    assert all(code in str(error.value) for code in codes)

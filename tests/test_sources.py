@@ -14,10 +14,10 @@ from orderlens.sources.landing import landing_manifest, read_raw, snapshot_manif
 from orderlens.sources.warehouse import Warehouse
 
 
-def test_the_manifest_names_every_file_with_its_digest(spark, compact_dir):
-    files = landing_manifest(spark, compact_dir, "*.csv")
+def test_the_manifest_names_every_file_with_its_digest(spark, story_dir):
+    files = landing_manifest(spark, story_dir, "*.csv")
     expected = {
-        p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in Path(compact_dir).glob("*.csv")
+        p.name: (p.stat().st_size, hashlib.sha256(p.read_bytes()).hexdigest()) for p in Path(story_dir).glob("*.csv")
     }
     assert {f.file: (f.bytes, f.sha256) for f in files.collect()} == expected
     whole = snapshot_manifest(files, "orders", "https://example.org/snapshot").first()
@@ -61,9 +61,9 @@ def test_readers_follow_the_last_commit(spark, tmp_path):
     assert warehouse.tables("build")["t"].count() == 5
 
 
-def test_the_landing_record_is_stored_and_committed(spark, compact_dir, tmp_path):
+def test_the_landing_record_is_stored_and_committed(spark, story_dir, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path / "wh"))
-    files = record_landing(warehouse, compact_dir, "orders", "https://example.org/snapshot")
+    files = record_landing(warehouse, story_dir, "orders", "https://example.org/snapshot")
     assert files.count() == 9
     run = warehouse.current("landing")
     assert (run.tables, run.row_count) == (["files", "snapshot"], 10)
