@@ -62,14 +62,20 @@ def build(vectors: np.ndarray) -> Tree:
         members = node.members
         first = np.flatnonzero(members == node.centre)[0]
         members[[0, first]] = members[[first, 0]]
-        apart = _distances(vectors[members], vectors[members])
+        cosines = vectors[members] @ vectors[members].T
+        close = cosines >= 1 - reach * reach / 2
+        np.fill_diagonal(close, True)
         free = np.ones(len(members), bool)
-        while free.any():
-            at = int(free.argmax())
-            mine = free & (apart[at] <= reach)
-            mine[at] = True
-            free &= ~mine
-            child = Tree(int(members[at]), members[mine], float(apart[at][mine].max()))
+        for at in range(len(members)):
+            if not free[at]:
+                continue
+            mine = np.flatnonzero(close[at] & free)
+            free[mine] = False
+            if len(mine) == 1:
+                node.children.append(Tree(int(members[at]), members[mine], 0.0))
+                continue
+            radius = float(np.sqrt(max(2 - 2 * cosines[at][mine].min(), 0)))
+            child = Tree(int(members[at]), members[mine], radius)
             node.children.append(child)
             open_.append((child, reach))
     return root
@@ -139,9 +145,9 @@ def traverse(
             continue
         xs = x.children if x.children and (len(x.members) >= len(y.members) or not y.children) else [x]
         ys = y.children if y.children and (len(y.members) > len(x.members) or not x.children or itself) else [y]
-        near = _distances(left[[c.centre for c in xs]], right[[c.centre for c in ys]])
-        reach = np.add.outer([c.radius for c in xs], [c.radius for c in ys]) + limit + SLACK
-        keep = near <= reach
+        cosines = left[[c.centre for c in xs]] @ right[[c.centre for c in ys]].T
+        reach = np.add.outer([c.radius for c in xs], np.array([c.radius for c in ys]) + limit + SLACK)
+        keep = cosines >= 1 - reach * reach / 2
         if itself:
             keep = np.triu(keep)
         stack += [(xs[i], ys[j]) for i, j in zip(*np.nonzero(keep))]
@@ -151,7 +157,7 @@ def traverse(
 def _pair(frame: pd.DataFrame) -> pd.DataFrame:
     """Links within one pair of parts: of each vector that has any its number of links and a partner."""
     sides = [frame[frame["side"] == s] for s in (0, 1)]
-    sides = [s.sort_values("node") for s in sides if len(s)]
+    sides = [s for s in sides if len(s)]
     empty = pd.DataFrame({"node": [], "partner": [], "n_links": []}).astype("int64")
     if len(sides) == 1 and not bool(frame["alone"].iloc[0]):
         return empty
@@ -172,9 +178,13 @@ def _units(vectors: DataFrame) -> DataFrame:
     norm = F.sqrt(F.aggregate(numbers, F.lit(0.0), lambda s, x: s + x * x))
     bad = F.exists(numbers, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     valid = F.col("label").isNotNull() & F.col("embedding").isNotNull() & ~bad & (norm > 0)
-    rows = vectors.where(valid).groupBy("label", "embedding").agg(F.count("*").alias("weight"), F.min("vec_id").alias("first"))
-    numbered = rows.withColumn("node", F.monotonically_increasing_id())
-    return numbered.withColumn("unit", F.transform(numbers, lambda x: x / norm)).withColumn("size", F.size("unit"))
+    # The norm is an aggregate, so it is not computed again for each component below.
+    rows = vectors.where(valid).groupBy("label", "embedding").agg(
+        F.count("*").alias("weight"), F.min("vec_id").alias("first"), F.first(norm).alias("norm")
+    )
+    unit = F.transform(numbers, lambda x: x / F.col("norm")).alias("unit")
+    rows = rows.select("label", "embedding", "weight", "first", unit, F.size("embedding").alias("size"))
+    return rows.withColumn("node", F.monotonically_increasing_id())
 
 
 def _celled(units: DataFrame) -> DataFrame:
