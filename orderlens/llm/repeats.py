@@ -14,6 +14,9 @@ with each step to the left, so streaming over the text from sample to sample giv
 longest match anywhere else, and those of 200 or more are marked.
 
 An anchor with very many different stretches would not fit a block; its windows are counted one by one.
+
+Texts move twice, to the stretches that are cut from them and to the marks that are cut out; they are
+compressed in the tasks that read them.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ CROWDED = 2000
 
 _CHUNK = 1 << 18
 _PLACE = np.uint64((1 << 20) - 1)
+_SPAN = 8
+"""Bits of a span that hold its number of windows, at most ``REACH``; the others hold the first."""
 
 
 def _tables(seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -100,15 +106,15 @@ def anchors(text: bytes) -> Iterator[tuple[np.ndarray, ...]]:
 
 
 def _places(docs: DataFrame) -> DataFrame:
-    """One row for each place of an anchor: anchor, digest, text key, doc_id, first window, windows."""
-    schema = "anchor long, digest long, k1 long, k2 long, doc_id long, start long, n int"
+    """One row for each place of an anchor: anchor, digest, text key, and first window and windows as one."""
+    schema = "anchor long, digest long, k1 long, k2 long, span long"
     fields = arrow_schema(docs.sparkSession, schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found: list[tuple] = []
             size = 0
-            for row, text in enumerate(batch.column(3).to_pylist()):
+            for row, text in enumerate(batch.column(2).to_pylist()):
                 for part in anchors((text or "").encode()):
                     found.append((*part, np.full(len(part[0]), row)))
                     size += len(part[0])
@@ -120,11 +126,11 @@ def _places(docs: DataFrame) -> DataFrame:
 
     def assemble(batch: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
         anchor, digest, start, n, row = (np.concatenate(c) for c in zip(*found))
-        keys = [batch.column(i).take(pa.array(row)) for i in range(3)]
-        columns = [pa.array(anchor), pa.array(digest), *keys, pa.array(start), pa.array(n.astype(np.int32))]
+        keys = [batch.column(i).take(pa.array(row)) for i in range(2)]
+        columns = [pa.array(anchor), pa.array(digest), *keys, pa.array(start << _SPAN | n)]
         return pa.record_batch(columns, schema=fields)
 
-    return docs.select(*text_key(), "doc_id", "text").mapInArrow(run, schema)
+    return docs.select(*text_key(), "text").mapInArrow(run, schema)
 
 
 class Index:
@@ -222,6 +228,7 @@ def _ranks(order: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return rank
 
 
+CUT = "anchor long, stretch binary, k1 long, k2 long, start long, open boolean, different long"
 MARKS = "k1 long, k2 long, start long, n int"
 
 
@@ -254,11 +261,15 @@ def _marks(rows: list[tuple]) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c) for c in columns], names=["k1", "k2", "start", "n"])
 
 
-def _cut(k1: int, k2: int, doc_id: int | None, text: str, stretches: list[dict]) -> Iterator[tuple]:
-    data = text.encode()
+def _pack(k1: int, k2: int, doc_id: int | None, text: str | None) -> Iterator[tuple]:
+    yield k1, k2, doc_id, zstandard.ZstdCompressor(level=3).compress((text or "").encode())
+
+
+def _cut(k1: int, k2: int, packed: bytes, stretches: list[dict]) -> Iterator[tuple]:
+    data = zstandard.ZstdDecompressor().decompress(packed)
     for s in stretches:
-        start = s["start"]
-        yield s["anchor"], data[start : start + s["n"] - 1 + LENGTH], k1, k2, start, s["open"]
+        start, n = s["span"] >> _SPAN, s["span"] & (1 << _SPAN) - 1
+        yield s["anchor"], data[start : start + n - 1 + LENGTH], k1, k2, start, s["open"], s["different"]
 
 
 def _windows(anchor: int, stretch: bytes, k1: int, k2: int, start: int, open_: bool) -> Iterator[tuple]:
@@ -268,9 +279,8 @@ def _windows(anchor: int, stretch: bytes, k1: int, k2: int, start: int, open_: b
         yield w1, w2, k1, k2, start + i, open_
 
 
-def _measure(text: str | None, marks: list[dict] | None) -> tuple[bytes, int, int]:
+def _measure(data: bytes, marks: list[dict] | None) -> tuple[bytes, int, int]:
     """What is kept of a text, the bytes removed, and the number of removed runs."""
-    data = (text or "").encode()
     if not marks:
         return data, 0, 0
     depth = np.zeros(len(data) + 1, np.int64)
@@ -283,8 +293,8 @@ def _measure(text: str | None, marks: list[dict] | None) -> tuple[bytes, int, in
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
-def _result(doc_id: int | None, text: str | None, marks: list[dict] | None) -> Iterator[tuple]:
-    kept, removed, runs = _measure(text, marks)
+def _result(doc_id: int | None, packed: bytes, marks: list[dict] | None) -> Iterator[tuple]:
+    kept, removed, runs = _measure(zstandard.ZstdDecompressor().decompress(packed), marks)
     yield doc_id, len(kept) + removed, removed, runs, hashlib.sha256(kept).hexdigest()
 
 
@@ -302,34 +312,37 @@ def remove_repeats(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     places = materialize(_places(docs))
     repeated = places.groupBy("anchor").count().where("count > 1").select("anchor")
     places = materialize(places.join(repeated, "anchor", "left_semi"))
-    one = F.min(F.struct("k1", "k2", "doc_id", "start", "n")).alias("one")
+    one = F.min(F.struct("k1", "k2", "span")).alias("one")
     stretches = places.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), one)
     stretches = materialize(stretches.select("anchor", "digest", "copies", "one.*"))
 
+    start, n = F.shiftright("span", _SPAN).alias("start"), F.col("span").bitwiseAND(F.lit((1 << _SPAN) - 1)).cast("int").alias("n")
     whole = stretches.where("copies > 1").select("anchor", "digest")
-    marks = places.join(whole, ["anchor", "digest"], "left_semi").select("k1", "k2", "start", "n").distinct()
-
-    different = materialize(stretches.groupBy("anchor").agg(F.count("*").alias("different")).where("different > 1"))
-    texts = docs.select(*text_key(), "doc_id", "text")
-
-    def cut(of_anchors: DataFrame) -> DataFrame:
-        """Bytes of the stretches of some anchors; one of each that differ, all of those still open."""
-        listed = stretches.join(of_anchors.select("anchor"), "anchor", "left_semi").withColumn("open", F.col("copies") == 1)
-        listed = listed.groupBy("k1", "k2", F.col("doc_id").alias("of_id")).agg(
-            F.collect_list(F.struct("anchor", "start", "n", "open")).alias("stretches")
-        )
-        rows = texts.join(listed, ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("of_id")))
-        schema = "anchor long, stretch binary, k1 long, k2 long, start long, open boolean"
-        return map_rows(rows.select("k1", "k2", "doc_id", "text", "stretches"), _cut, schema)
-
-    groups = cut(different.where(F.col("different") < crowded)).repartition("anchor").sortWithinPartitions("anchor")
+    marks = places.join(whole, ["anchor", "digest"], "left_semi").select("k1", "k2", "span").distinct()
+    marks = marks.select("k1", "k2", start, n)
+
+    different = stretches.groupBy("anchor").agg(F.count("*").alias("different")).where("different > 1")
+    listed = (
+        stretches.join(different, "anchor")
+        .select("k1", "k2", F.struct("anchor", "span", (F.col("copies") == 1).alias("open")).alias("stretch"), "different")
+        .groupBy("k1", "k2")
+        .agg(F.collect_list(F.struct("stretch.*", "different")).alias("stretches"))
+    )
+    # Of equal texts the first is cut.
+    firsts = docs.select(*text_key(), "doc_id").groupBy("k1", "k2").agg(F.min("doc_id").alias("first"))
+    texts = map_rows(docs.select(*text_key(), "doc_id", "text"), _pack, "k1 long, k2 long, doc_id long, packed binary")
+    rows = texts.join(listed.join(firsts, ["k1", "k2"]), ["k1", "k2"]).where(F.col("doc_id").eqNullSafe(F.col("first")))
+    cut = materialize(map_rows(rows.select("k1", "k2", "packed", "stretches"), _cut, CUT))
+
+    groups = cut.where(F.col("different") < crowded).drop("different")
+    groups = groups.repartition("anchor").sortWithinPartitions("anchor")
     marks = marks.union(groups.mapInArrow(_index_blocks, MARKS))
-    busy = different.where(F.col("different") >= crowded)
+    busy = cut.where(F.col("different") >= crowded).drop("different")
     if not busy.isEmpty():
-        windows = materialize(map_rows(cut(busy), _windows, "w1 long, w2 long, k1 long, k2 long, start long, open boolean"))
+        windows = materialize(map_rows(busy, _windows, "w1 long, w2 long, k1 long, k2 long, start long, open boolean"))
         twice = windows.groupBy("w1", "w2").count().where("count > 1").select("w1", "w2")
         found = windows.where("open").join(twice, ["w1", "w2"], "left_semi")
         marks = marks.union(found.select("k1", "k2", "start", F.lit(1).alias("n")))
     of_text = marks.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "n")).alias("marks"))
-    rows = texts.join(of_text, ["k1", "k2"], "left").select("doc_id", "text", "marks")
+    rows = texts.join(of_text, ["k1", "k2"], "left").select("doc_id", "packed", "marks")
     return map_rows(rows, _result, RESULT)
