@@ -23,10 +23,10 @@ from pyspark.sql import DataFrame
 
 from orderlens.llm.common import arrow_schema, to_batch
 
-BLOCK_CHARS = 16_000_000
+BLOCK_CHARS = 2_000_000
 """Characters of documents whose new words are replayed together."""
 
-KNOWN_PIECES = 1_200_000
+KNOWN_PIECES = 200_000
 """Encoded pieces a worker keeps; beyond that it starts afresh, at the cost of encoding them again."""
 
 _CUT = re.compile(r" (?=\S)")
