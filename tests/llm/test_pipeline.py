@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import hashlib
 import os
+import random
 import re
 
 import pytest
 
 import corpus_pipeline
-from orderlens.llm import decontaminate, simhash
+from orderlens.llm import decontaminate, secret_scan, simhash
 from orderlens.llm.queries import ORACLE, QUERIES
 from registry.compare import connect, difference
 
@@ -60,3 +61,27 @@ def test_stages_return_the_columns_of_documents(spark):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SAMPLE).columns == docs.columns, name
         assert stage(spark, docs.limit(0), SAMPLE).count() == 0, name
+
+
+def test_the_secrets_network_takes_part_in_op9_and_the_pipeline(spark, tmp_path):
+    """The sample with thirty tokens, thirty addresses, and one secret that no pattern knows."""
+    rng = random.Random(12)
+    rows = [r.asDict() for r in spark.read.parquet(f"{SAMPLE}/documents.parquet").orderBy("doc_id").collect()]
+    kept = {r.doc_id for r in corpus_pipeline.run(spark, SAMPLE).collect()}
+    chosen = [r for r in rows if r["doc_id"] in kept and len(r["text"]) > 600][:61]
+    for i, r in enumerate(chosen[:60]):
+        address = ".".join(str(rng.randint(100, 255)) for _ in range(4))
+        r["text"] += f" {address} de" if i % 2 else " token = %040x" % rng.getrandbits(160)
+    hidden = "%013x_%013x_%013x" % tuple(rng.getrandbits(52) for _ in range(3))
+    chosen[60]["text"] += f" {hidden} de"
+    schema = spark.read.parquet(f"{SAMPLE}/documents.parquet").schema
+    spark.createDataFrame([tuple(r.values()) for r in rows], schema).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.read.parquet(f"{SAMPLE}/benchmark.parquet").write.parquet(f"{tmp_path}/benchmark.parquet")
+    doc_id, text = chosen[60]["doc_id"], chosen[60]["text"]
+    spans = {r.doc_id: r.spans for r in QUERIES["op9_secret_scans"](spark, str(tmp_path)).collect()}
+    start = text.index(hidden)
+    assert f"cnn:{start}:{start + len(hidden)}" in spans[doc_id].split(",")
+    digests = {r.doc_id: r.decoded_sha256 for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
+    net = secret_scan.learn(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    clean = secret_scan.redact(text, secret_scan.find(text, net))
+    assert hidden not in clean and digests[doc_id] == hashlib.sha256(clean.encode()).hexdigest()

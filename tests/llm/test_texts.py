@@ -353,6 +353,28 @@ def test_the_network_tells_secrets_from_other_runs():
     assert found[labels[600:]].mean() >= 0.9 and found[~labels[600:]].mean() <= 0.05
 
 
+def test_findings_are_sampled_from_all_documents(spark):
+    """Twelve findings in 8,000 documents: few in any sample of documents, enough in the table."""
+    rng = random.Random(11)
+    rows = [(i, "plain words and no more") for i in range(8000)]
+    for i in range(12):
+        rows[i * 600] = (i * 600, rng.choice(["token = ", "it was "]) + "%040x" % rng.getrandbits(160))
+        rows[i * 600 + 1] = (None, f"from 10.20.{rng.randint(100, 255)}.{rng.randint(100, 255)} and on")
+    rows += rows[:1] * 50 + [(9000, None), (9001, " ".join(f"{n}.mail.example.com" for n in range(10_000, 13_000)))]
+    docs = frame(spark, rows)
+    got = secret_scan.sampled(docs, 500)
+    assert [s for s, _, _ in got].count(True) == 12 and len({k for _, k, _ in got}) == len(got) == 512
+    assert secret_scan.sampled(docs.repartition(7), 500) == got
+    net = secret_scan.learn(docs)
+    assert net is not None
+    hidden = "it was %013x_%013x_%013x for you" % tuple(rng.getrandbits(52) for _ in range(3))
+    assert not plain_secrets(hidden)
+    assert [s[0] for s in secret_scan.find(hidden, net)] == ["cnn"]
+    few = docs.where("doc_id is null or doc_id >= 1200")
+    assert secret_scan.learn(few) is not None
+    assert secret_scan.learn(docs.where("doc_id > 2000")) is None
+
+
 # Repeats
 
 
