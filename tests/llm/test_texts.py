@@ -375,6 +375,19 @@ def test_findings_are_sampled_from_all_documents(spark):
     assert secret_scan.learn(docs.where("doc_id > 2000")) is None
 
 
+def test_the_threshold_keeps_the_asked_recall_where_labels_overlap():
+    """One in twelve is a finding, and no character tells it: the calibrated probabilities are low."""
+    rng = random.Random(13)
+    texts = ["%040x" % rng.getrandbits(160) for _ in range(1200)]
+    codes = np.array([secret_scan._codes(t, 0, len(t)) for t in texts])
+    labels, held = np.arange(1200) % 12 == 0, np.arange(1200) % 5 == 0
+    net = secret_scan.train(codes, labels, held)
+    found = net.score(codes[held]) >= net.threshold
+    assert net.threshold < 0.5 and net.held == (20, 220)
+    assert found[labels[held]].mean() == net.recall >= secret_scan.RECALL
+    assert net.precision == labels[held][found].mean()
+
+
 # Repeats
 
 
