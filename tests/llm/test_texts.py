@@ -388,6 +388,34 @@ def test_the_threshold_keeps_the_asked_recall_where_labels_overlap():
     assert net.precision == labels[held][found].mean()
 
 
+def test_long_candidates_are_read_in_all_places(spark):
+    """A key at any place of a path, a dotted token or a run without marks changes the score."""
+    rng = random.Random(14)
+    hexes = lambda n: "%0*x" % (n, rng.getrandbits(4 * n))
+    slug = lambda n: "".join(rng.choices("aeilnorst-", k=n)).strip("-")
+    rows = []
+    for i in range(300):
+        path = "/".join(["api", "v2", *(slug(9) for _ in range(rng.randint(2, 9))), "file.tar.gz"])
+        rows.append((i, f"see {path} or {rng.choice(['token = ', 'it is '])}{hexes(rng.choice([24, 40]))} and {slug(14)}7"))
+        at = rng.randrange(7, len(path) - 12)
+        rows.append((1000 + i, f"at {path[:at]}/{hexes(32)}/{path[at:]} there"))
+    net = secret_scan.learn(frame(spark, rows))
+    found = {True: 0, False: 0}
+    for _ in range(60):
+        before, after = ("/".join(slug(9) for _ in range(rng.randint(6, 9))) for _ in range(2))
+        for key in ("_".join(hexes(13) for _ in range(3)), slug(41)):
+            text = f"at /api/v2/{before}/{key}/{after}/file.tar.gz there"
+            assert not plain_secrets(text)
+            found[key[13] == "_" and len(key) == 41] += bool(secret_scan.find(text, net))
+    assert found[True] >= 50 and found[False] <= 20
+    text = "x" * 5 + slug(500) + "7"
+    covered = set()
+    for a, b in secret_scan._pieces(text, 5, 506):
+        assert b - a <= secret_scan.HEAD + secret_scan.TAIL
+        covered |= set(range(a, b))
+    assert covered >= set(range(5, len(text)))
+
+
 # Repeats
 
 
