@@ -3,8 +3,8 @@
 Each node of a page's tree has a density: characters per tag, adjusted for the share of characters and
 tags in links. The container whose children's densities sum highest is taken; its ancestors are taken
 instead as long as no density on the way falls below the threshold, the lowest on the path from the
-body. What can't be main text by its tag, or by the words of its class, id or role, is no part of the
-tree that is measured.
+body. What can't be main text by its tag or role is no part of the tree that is measured; what a class
+or id names as apart is none either, unless it holds the page's article or most of its text.
 """
 
 from __future__ import annotations
@@ -46,7 +46,11 @@ _ASIDE_WORDS = (
     "topbar notice notices cookie cookies consent gdpr alert popup modal overlay newsletter subscribe signup share "
     "sharing social related recommended pagination pager toolbar widget login search skip"
 ).split()
-_NAMED = re.compile(rf"(?<![a-z])(?:{'|'.join(_ASIDE_WORDS)})(?![a-z])")
+_WHERE = "site|global|left|right|top|bottom|primary|secondary|[0-9]+"
+_WORD = "|".join(_ASIDE_WORDS)
+_NAMED = re.compile(rf"(?<![^\s])(?:(?:{_WHERE})-+)*(?:{_WORD})(?:-+(?:{_WORD}|{_WHERE}))*(?![^\s])")
+"""A whole name made of these words, and of where it stands: ``cookie-notice``, not ``has-sidebar``."""
+_MENTIONED = re.compile(rf"(?<![a-z])(?:{_WORD})(?![a-z])")
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 _TOKEN = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>\x00]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
@@ -57,10 +61,10 @@ _ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*
 
 
 class Node:
-    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "aside", "inside", "density", "total")
+    __slots__ = ("tag", "parent", "children", "chars", "tags", "link_chars", "link_tags", "aside", "named", "inside", "density", "total")
 
-    def __init__(self, tag: str, parent: Node | None, aside: bool):
-        self.tag, self.parent, self.aside = tag, parent, aside
+    def __init__(self, tag: str, parent: Node | None, aside: bool, named: bool = False):
+        self.tag, self.parent, self.aside, self.named = tag, parent, aside, named
         self.inside = tag in ("article", "main") or parent is not None and parent.inside
         self.children: list[Node | str] = []
         self.chars = self.tags = self.link_chars = self.link_tags = 0
@@ -68,7 +72,7 @@ class Node:
 
 
 def _is_aside(tag: str, attributes: str, inside_text: bool) -> bool:
-    """Whether an element is apart from the main text by its tag or its names."""
+    """Whether an element is apart from the main text by its tag, its role or being hidden."""
     if tag in NOT_TEXT or tag == "header" and not inside_text:
         return True
     if tag in ("html", "body", "article", "main") or not attributes:
@@ -77,15 +81,50 @@ def _is_aside(tag: str, attributes: str, inside_text: bool) -> bool:
         name, value = name.lower(), value.strip("\"'").lower()
         if name == "hidden" or name == "aria-hidden" and value == "true" or name == "role" and value in _ROLES:
             return True
-        if name in ("class", "id") and _NAMED.search(value.replace("_", "-")):
-            return True
     return False
 
 
+def _is_named(tag: str, attributes: str) -> bool:
+    """Whether an element's class or id names it as apart from the main text.
+
+    An article is named by any such word in a name: readers' comments are often articles.
+    """
+    if tag in ("html", "body", "main") or not attributes:
+        return False
+    pattern = _MENTIONED if tag == "article" else _NAMED
+    return any(
+        name.lower() in ("class", "id") and pattern.search(value.strip("\"'").lower().replace("_", "-"))
+        for name, value in _ATTRIBUTE.findall(attributes)
+    )
+
+
+def _judge_names(root: Node) -> None:
+    """Set aside what is named so, but for what holds the page's article or most of its text.
+
+    The article is the ``main`` or ``article`` with the most text outside links, one whose name
+    mentions none of the words if there is any; most is more than half. What stays is told by its density.
+    """
+    order, stack, plain = [], [(root, False)], {}
+    while stack:
+        node, linked = stack.pop()
+        order.append(node)
+        linked = linked or node.tag == "a"
+        plain[node] = 0 if linked else sum(len("".join(c.split())) for c in node.children if isinstance(c, str))
+        stack += [(c, linked) for c in node.children if isinstance(c, Node) and not c.aside]
+    for node in reversed(order):
+        if node.parent is not None:
+            plain[node.parent] += plain[node]
+    articles = [n for n in order if n.tag in ("article", "main") and plain[n]]
+    holds = set(_up(max(articles, key=lambda n: (not n.named, plain[n])))) if articles else set()
+    for node in order:
+        if node.named and node.tag != "article" and node not in holds and 2 * plain[node] <= plain[root]:
+            node.aside = True
+
+
 def parse(html: str) -> Node:
     """The page's tree. End tags that are left out are implied; unmatched ones are ignored."""
     root = here = Node("html", None, False)
-    at, size = 0, len(html)
+    at, size, named = 0, len(html), False
     while at < size:
         found = _TOKEN.search(html, at)
         start = found.start() if found else size
@@ -115,7 +154,9 @@ def parse(html: str) -> Node:
         if tag in VOID:
             here.children.append(Node(tag, here, False))
             continue
-        node = Node(tag, here, here.aside or _is_aside(tag, attributes, here.inside))
+        aside = here.aside or _is_aside(tag, attributes, here.inside)
+        node = Node(tag, here, aside, not aside and _is_named(tag, attributes))
+        named = named or node.named
         here.children.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
@@ -123,6 +164,8 @@ def parse(html: str) -> Node:
             at = end.end() if end else size
         elif not attributes.endswith("/") or tag not in ("svg", "math"):
             here = node
+    if named:
+        _judge_names(root)
     return root
 
 

@@ -73,6 +73,28 @@ def test_the_article_is_found_whole(name):
     assert html_text.extract(head + before + ARTICLE + after) == TEXT
 
 
+WRAPPED = {
+    "compound": ("<body><div class='layout has-sidebar no-comments'><div class='post'>", "</div></div>"),
+    "builder": ("<body><div class=elementor-widget><div class='elementor-widget-container'>", "</div></div>"),
+    "widget": ("<body><div class='widget Blog' id=Blog1><div class=post>", "</div></div><div class='widget'>Popular posts of the week</div>"),
+    "main": ("<body><div id=page class=modal><div class=banner>Buy</div><main>", "</main><div class=comments>I like it</div></div>"),
+    "article": ("<body><div class='content widget'><article class='post has-sidebar'>", "</article></div><div class='related'><article class=card>Other</article></div>"),
+    "left": ("<body><div class='site-header'>Site name</div><div id='left_sidebar'>Latest news of all</div><div class=post>", "</div>"),
+    "readers": (
+        "<body><div class=post>",
+        "</div><div id=comments>" + "<article class='comment-body'>I like it</article>" * 2 + "</div><div class=related>Next</div>",
+    ),
+}
+
+
+@pytest.mark.parametrize("name", WRAPPED)
+def test_a_name_alone_does_not_remove_the_article(name):
+    before, after = WRAPPED[name]
+    assert html_text.extract(f"<html>{before}{ARTICLE}{after}") == TEXT
+    with_header = f"<div class='entry-header'>{ARTICLE[: ARTICLE.index('<p>')]}</div>{ARTICLE[ARTICLE.index('<p>') :]}"
+    assert html_text.extract(f"<html>{before}{with_header}{after}") == TEXT
+
+
 def test_pages_without_text_and_odd_markup(spark):
     odd = ["<", "<p", "</p></div>", "<!--", "<script>x", "a<b", "<div " * 3000, "<div>" * 5000 + "deep", "&am &#x41; &#0;"]
     rows = [(i, "u", h, 3) for i, h in enumerate([None, "", *odd])] + [(None, None, "<p>x", 3)] * 2
