@@ -155,6 +155,42 @@ def test_passages_are_found_up_to_their_budget(spark):
     assert decontaminate.contaminated(frame(spark, []), benchmark).count() == 0
 
 
+def test_parts_of_passages_and_short_passages_are_found(spark):
+    rng = random.Random(15)
+    item = decontaminate.level(words(rng, 90))[:394].strip()
+    two_hundred = decontaminate.level(words(rng, 60))[:200].strip()
+    changed = two_hundred.split(" ")
+    for at in (3, 11, 19):
+        changed[at] = "q" * len(changed[at])
+    benchmark = [(1, item), (2, two_hundred), (3, "B-52 x"), (4, ""), (5, "xyz")]
+    rows = [(0, f"so {item[:197]} and"), (1, f"so {item[197:]} and"), (2, "so " + " ".join(changed) + " and")]
+    rows += [(3, "a b-52  X."), (4, "ab-52 x b-52 xy wxyz"), (5, words(rng, 300)), (6, "(xyz)")]
+    for i in range(10, 40):
+        start = rng.randrange(len(item) - 100)
+        part = list(item[start : start + rng.randint(90, 190)])
+        for _ in range(rng.randint(0, 8)):
+            part[rng.randrange(len(part))] = rng.choice(["", "q", "qq"])
+        rows.append((i, words(rng, 5) + " " + "".join(part) + "\n" + words(rng, 5)))
+    got = decontaminate.contaminated(frame(spark, rows), spark.createDataFrame(benchmark, "item_id long, text string")).collect()
+    found = {(r.doc_id, r.item_id): r for r in got}
+    assert len(found) == len(got)
+    assert {k for k in found if k[0] < 10} == {(0, 1), (1, 1), (2, 2), (3, 3), (6, 5)}
+    assert found[0, 1].edits == found[1, 1].edits == 0 and "a b-52  X."[found[3, 3].start : found[3, 3].end] == "b-52  X"
+    edits_of = []
+    for doc_id, text in rows[7:]:
+        levelled = decontaminate.level(text)
+        parts = [item[a : a + 100] for a in range(0, len(item) - 99, 25)]
+        edits = min(distance_within(part, levelled) for part in parts)
+        assert ((doc_id, 1) in found) == (edits <= 5), (doc_id, edits)
+        if edits <= 5:
+            place = found[doc_id, 1]
+            edits_of.append(edits)
+            assert place.edits == edits
+            stretch = re.sub(r"\s", " ", text[place.start : place.end].lower())
+            assert min(distance_within(part, stretch) for part in parts) == edits
+    assert 5 <= len(edits_of) < 30 and max(edits_of) > 2
+
+
 # Byte-level BPE
 
 
