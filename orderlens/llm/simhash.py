@@ -74,6 +74,16 @@ class _Fingerprints:
         yield doc_id, value - (1 << 64) if value >> 63 else value
 
 
+def _keyed(shingle: int):
+    prints = _Fingerprints(shingle)
+
+    def each(doc_id: int | None, text: str | None, k1: int, k2: int) -> Iterator[tuple]:
+        for _, fp in prints(doc_id, text):
+            yield doc_id is None, doc_id, k1, k2, fp
+
+    return each
+
+
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """``doc_id`` and the fingerprint ``fp`` as a signed long."""
     return map_rows(docs.select("doc_id", "text"), _Fingerprints(shingle).__call__, "doc_id long, fp long")
@@ -145,6 +155,15 @@ def _quarters(half, ball: bool):
     return F.explode(F.array(*sides)).alias("quarter")
 
 
+def _grouped(stored: DataFrame, first, max_bits: int) -> DataFrame:
+    """Per fingerprint ``fp``, ``first`` over its rows, and ``root``, which names its component."""
+    distinct = materialize(stored.groupBy("fp").agg(first.alias("first")))
+    roots = connected(links(distinct.select("fp"), max_bits), "a", "b")
+    return distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
+        "fp", "first", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """Per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits) and ``component_id``.
 
@@ -154,11 +173,7 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     and is never the smallest; where a component has no other, its id is null. Repeated rows stay.
     """
     stored = materialize(fingerprints(docs, shingle))
-    distinct = materialize(stored.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = connected(links(distinct.select("fp"), max_bits), "a", "b")
-    grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root")
-    )
+    grouped = _grouped(stored, F.min("doc_id"), max_bits)
     smallest = grouped.groupBy("root").agg(F.min("first").alias("component_id"))
     named = materialize(grouped.join(smallest, "root").select("fp", "component_id"))
     return stored.join(named, "fp").select(
@@ -169,9 +184,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
 def distinct(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:
     """``docs``, all columns, with one row of each group of near-duplicates: that of the smallest doc_id.
 
-    Of rows that repeat an id one stays. A row without an id cannot be named by its group and stays.
+    Rows are told by id and text. Of several texts under one id the one of the smallest hash counts; a
+    row without an id is kept where its group has no other. Equal rows count once.
     """
-    groups = near_duplicates(docs, shingle, max_bits)
-    kept = materialize(groups.where("doc_id = component_id").select("doc_id").distinct())
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(docs.columns).union(docs.where("doc_id is null"))
+    content = F.coalesce(F.col("doc_id"), F.lit(0)), F.col("doc_id").isNull(), F.coalesce(F.col("text"), F.lit(""))
+    keyed = {"row key 1": F.xxhash64(*content), "row key 2": F.xxhash64(F.lit("second"), *content)}
+    own = docs.select("doc_id", "text", *(key.alias(name) for name, key in keyed.items()))
+    stored = materialize(map_rows(own, _keyed(shingle), "none boolean, id long, k1 long, k2 long, fp long"))
+    grouped = _grouped(stored, F.min(F.struct("none", "id", "k1", "k2")), max_bits)
+    kept = grouped.groupBy("root").agg(F.min("first").alias("first"))
+    kept = materialize(kept.select(*(F.col(f"first.k{i}").alias(name) for i, name in enumerate(keyed, 1))))
+    rows = docs.withColumns(keyed).join(kept, list(keyed), "left_semi").dropDuplicates(list(keyed))
+    return rows.select(docs.columns)

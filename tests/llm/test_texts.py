@@ -107,6 +107,14 @@ def test_near_duplicates_equal_brute_force(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
+def test_one_row_of_each_group_stays_whatever_its_id(spark):
+    rng = random.Random(16)
+    a, b, c, d = (words(rng, 80) for _ in range(4))
+    rows = [(5, a), (5, b), (6, a), (7, b), (None, c), (None, c), (None, d), (8, d), (None, a), (5, a)]
+    kept = [(r.doc_id, r.text) for r in simhash.distinct(frame(spark, rows)).collect()]
+    assert sorted(kept, key=str) == sorted([(5, a), (5, b), (None, c), (8, d)], key=str)
+
+
 # Decontamination
 
 
