@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.functions.measures import on_or_before
+from orderlens.operators.hot_join import join_hot
 from orderlens.plans.context import BuildContext
 from orderlens.plans.orders import is_delivered
 
@@ -24,9 +25,11 @@ def delivered_orders(orders: DataFrame, ctx: BuildContext) -> DataFrame:
 
 def delivered_lines(orders: DataFrame, items: DataFrame, ctx: BuildContext) -> DataFrame:
     """Items of delivered orders. ``orders`` is the order summary, or any frame of orders; review
-    score and lateness are carried where it has them."""
+    score and lateness are carried where it has them. An order that holds a great part of all items is
+    split among tasks, whatever the frames are made from."""
     kept = [c for c in _ORDER_COLUMNS if c in orders.columns]
-    return delivered_orders(orders, ctx).select(*kept).join(items.select(*_ITEM_COLUMNS), "order_id")
+    joined = join_hot(delivered_orders(orders, ctx).select(*kept), items.select(*_ITEM_COLUMNS, "order_item_id"), "order_id")
+    return joined.drop("order_item_id")
 
 
 def eligible_lines(lines: DataFrame) -> DataFrame:

@@ -8,6 +8,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens.operators.hot_join import PART, hot_keys, join_hot
 from orderlens.plans import lines, orders, performance, quality, segmentation
 from orderlens.plans.context import BuildContext
 from orderlens.session import materialize
@@ -102,12 +103,52 @@ def test_the_hot_order_is_whole(spark, hot):
     assert row.distinct_sellers == len({i % 900 for i in n})
 
 
-def test_the_join_of_a_hot_order_is_split_among_tasks(spark, hot):
-    with _conf(spark, **_SPLIT):
-        joined = lines.delivered_lines(hot["orders"], hot["items"], CTX)
-        joined.collect()
-        plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "skew=true" in plan
+def _summary(spark, hot):
+    """The order summary, not stored: a join that is partitioned by the order already."""
+    n = F.col("id")
+    payments = spark.range(0, 9_000).select(
+        (n % 4_001).alias("order_id"), F.lit("card").alias("payment_type"), F.lit(1).cast("decimal(18,2)").alias("payment_value_brl")
+    )
+    reviews = spark.range(0, 4_001).select(n.alias("order_id"), (n % 5 + 1).cast("int").alias("review_score"))
+    times = ("approved_at", "delivered_carrier_at", "delivered_customer_at", "estimated_delivery_at")
+    heads = hot["orders"].drop("review_score", "is_late").withColumns({c: F.col("purchased_at") for c in times})
+    return orders.order_summary(heads, hot["items"], payments, reviews)
+
+
+def _most_in_a_task(frame) -> float:
+    counted = frame.groupBy(F.spark_partition_id().alias("task")).agg(F.count("*").alias("n")).collect()
+    return max(r.n for r in counted) / sum(r.n for r in counted)
+
+
+def test_the_join_of_a_hot_order_is_split_whatever_stands_below_it(spark, hot):
+    """A third of the items are one order's; no task joins more than a fifth of them all."""
+    unsplit = {"spark.sql.adaptive.skewJoin.enabled": "false", "spark.sql.shuffle.partitions": "16"}
+    with _conf(spark, **_SPLIT | unsplit):
+        joined = lines.delivered_lines(_summary(spark, hot), hot["items"], CTX)
+        assert _most_in_a_task(joined) < 0.2
+        plain = lines.delivered_orders(_summary(spark, hot), CTX).join(hot["items"], "order_id")
+        assert _most_in_a_task(plain) > 0.33
+        key = ["order_id", "product_id", "seller_id", "item_value_brl"]
+        assert joined.select(key).exceptAll(plain.select(key)).isEmpty()
+        assert joined.count() == plain.count() == ITEMS
+
+
+def test_frequent_keys_are_found_and_no_others(spark, hot):
+    found = hot_keys(hot["items"], "order_id", 8)
+    assert set(found) == {0} and 10 <= found[0] <= 12
+    assert hot_keys(hot["items"].filter("order_id <> 0"), "order_id", 8) == {}
+    assert hot_keys(hot["items"].limit(0), "order_id", 8) == {}
+    nulls = hot["items"].select(F.when(F.col("order_id") != 0, F.col("order_id")).alias("order_id"))
+    assert hot_keys(nulls, "order_id", 8) == {}
+
+
+def test_a_join_without_frequent_keys_is_the_plain_one(spark, hot):
+    few = hot["items"].filter("order_id <> 0")
+    plan = join_hot(hot["orders"], few, "order_id", parts=8)._jdf.queryExecution().executedPlan().toString()
+    assert PART not in plan
+    salted = join_hot(hot["orders"], hot["items"], "order_id", hot={0: 5, 3: 2})
+    assert PART not in salted.columns
+    assert salted.count() == ITEMS
 
 
 def test_distinct_counts_of_a_hot_key_are_spread_by_value(spark, hot):
