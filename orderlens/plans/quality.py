@@ -1,7 +1,7 @@
 """Fifteen data-quality checks and the gate that can block publication.
 
-Each table is read once: all of its checks are one aggregate. Orphan checks first reduce the items
-to one row per key, so what is joined to a dimension grows with the keys, not with the items.
+The checks of keys, unique ones and orphans alike, are one union and one aggregate over all tables; the
+other checks of a table are one aggregate of it.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.contracts import FAILED_STATUSES
+from orderlens.operators.keys import Keyed, key_totals
 from orderlens.plans.context import BuildContext
 from orderlens.plans.lines import eligible_lines
 from orderlens.plans.orders import invalid_chronology, is_delivered
@@ -50,11 +51,6 @@ CHECKS = {
 }
 
 
-def surplus_rows(*key: str) -> Column:
-    """Rows beyond the distinct keys. A key with a NULL part is no key and counts as surplus."""
-    return F.count("*") - F.countDistinct(*key)
-
-
 def orphan_rows(items: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     """Keys of ``items`` that ``parents`` does not have, a NULL key included, with their rows."""
     return items.groupBy(key).agg(F.count("*").alias("rows")).join(parents.select(key), key, "left_anti")
@@ -72,11 +68,38 @@ def _observe(table: DataFrame, **checks: Column) -> DataFrame:
     return row.unpivot([], list(checks), "check_id", "observed_value")
 
 
-def _orphans(reduced: DataFrame, parents: DataFrame, key: str, check_id: str) -> DataFrame:
-    """``reduced`` holds the items' keys with the number of items of each combination."""
-    keyed = reduced.groupBy(key).agg(F.sum("rows").alias("rows"))
-    rows = F.coalesce(F.sum("rows"), F.lit(0))
-    return _observe(keyed.join(parents.select(key), key, "left_anti"), **{check_id: rows})
+# Of each kind of key the check of its defining rows, and that of the rows that refer to it.
+_KEY_CHECKS = {
+    "order": ("orders_pk_unique", "items_without_order"),
+    "address": ("customers_bridge_pk_unique", None),
+    "item": ("order_items_pk_unique", None),
+    "product": (None, "items_without_product"),
+    "seller": (None, "items_without_seller"),
+    "person": ("customer_segment_unique", None),
+}
+
+
+def _key_checks(tables: Mapping[str, DataFrame]) -> DataFrame:
+    items = tables["fct_order_item"]
+    totals = key_totals(
+        [
+            Keyed("order", tables["fct_order"], ["order_id"]),
+            Keyed("order", items, ["order_id"], refers=True),
+            Keyed("address", tables["bridge_customer_order_address"], ["customer_id"]),
+            Keyed("item", items, ["order_id", "order_item_id"]),
+            Keyed("product", tables["dim_product"], ["product_id"]),
+            Keyed("product", items, ["product_id"], refers=True),
+            Keyed("seller", tables["dim_seller"], ["seller_id"]),
+            Keyed("seller", items, ["seller_id"], refers=True),
+            Keyed("person", tables["customer_segmentation"], ["customer_unique_id"]),
+        ]
+    )
+    found = {}
+    for kind, checks in _KEY_CHECKS.items():
+        for check_id, measure in zip(checks, ("surplus", "orphans")):
+            if check_id:
+                found[check_id] = F.coalesce(F.sum(F.when(F.col("kind") == kind, F.col(measure))), F.lit(0))
+    return _observe(totals, **found)
 
 
 def _reconciliation(segmentation: DataFrame, lines: DataFrame) -> DataFrame:
@@ -96,30 +119,16 @@ def observations(tables: Mapping[str, DataFrame]) -> DataFrame:
     """
     orders, items = tables["fct_order"], tables["fct_order_item"]
     segmentation, summary = tables["customer_segmentation"], tables["order_summary"]
-    # One reduction of the items that the three orphan checks share.
-    keys = items.groupBy("order_id", "product_id", "seller_id").agg(F.count("*").alias("rows"))
     unlabelled = F.col("value_segment").isNull() | F.col("unit_segment").isNull() | F.col("category_segment").isNull()
     parts = [
         _observe(
             orders,
-            orders_pk_unique=surplus_rows("order_id"),
             orders_without_customer=F.count_if(F.col("customer_unique_id").isNull()),
             invalid_order_chronology_source=F.count_if(invalid_chronology()),
         ),
-        _observe(tables["bridge_customer_order_address"], customers_bridge_pk_unique=surplus_rows("customer_id")),
-        _observe(
-            items,
-            order_items_pk_unique=surplus_rows("order_id", "order_item_id"),
-            negative_item_values=F.count_if(F.col("item_value_brl") < 0),
-        ),
-        _orphans(keys, orders, "order_id", "items_without_order"),
-        _orphans(keys, tables["dim_product"], "product_id", "items_without_product"),
-        _orphans(keys, tables["dim_seller"], "seller_id", "items_without_seller"),
-        _observe(
-            segmentation,
-            customer_segment_unique=surplus_rows("customer_unique_id"),
-            customer_segment_complete=F.count_if(unlabelled),
-        ),
+        _key_checks(tables),
+        _observe(items, negative_item_values=F.count_if(F.col("item_value_brl") < 0)),
+        _observe(segmentation, customer_segment_complete=F.count_if(unlabelled)),
         _reconciliation(segmentation, tables["delivered_lines"]),
         _observe(
             tables["dim_product"],

@@ -10,10 +10,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from orderlens.operators import group_stats
 from orderlens.operators.abc import abc_class, bucket_cumulative, class_floors, value_buckets
 from orderlens.operators.group_stats import group_median, group_mode
 from orderlens.operators.prefix_sum import default_widths, prefix_sum
-from orderlens.session import discard, materialize, scratch_dir
+from orderlens.operators.keys import Keyed, key_totals, nested_surplus
+from orderlens.session import discard, materialize, materialize_together, scratch_dir
 
 _MONEY = "value decimal(18,2)"
 
@@ -164,6 +166,37 @@ def test_medians_of_unknown_keys_and_endless_values(spark):
     assert got == {r.k: (r.n, repr(r.v)) for r in own}
 
 
+@pytest.mark.parametrize("options", [{}, {"accuracy": 1, "margin": 1e-9}], ids=["sketched", "missed"])
+def test_medians_of_every_mix_of_strange_values(spark, options):
+    rng = random.Random(15)
+    pool = [float("nan"), float("inf"), float("-inf"), None, 0.0, 1.5, -2.0, 7.25]
+    rows = [
+        (group or None, rng.choice(pool), rng.choice([1.0, 2.0, float("nan")]))
+        for group in range(150)
+        for _ in range(rng.randint(1, 9))
+    ]
+    frame = spark.createDataFrame(rows, "k int, a double, b double")
+    got = {r.k: (r.n, repr(r.a), repr(r.b)) for r in group_median(frame, "k", ["a", "b"], count="n", **options).collect()}
+    own = frame.groupBy("k").agg(F.count("*").alias("n"), F.median("a").alias("a"), F.median("b").alias("b")).collect()
+    assert got == {r.k: (r.n, repr(r.a), repr(r.b)) for r in own}
+
+
+def test_a_missed_middle_is_found_in_a_second_bracket(spark, monkeypatch):
+    """A sketch too coarse for its margin misses below and above; the other end of its bracket stays."""
+    rng = random.Random(16)
+    frame = spark.createDataFrame([(i % 5, rng.gauss(0, 1), rng.expovariate(1)) for i in range(20_000)], "k int, a double, b double")
+    second, used = group_stats._second_brackets, []
+    monkeypatch.setattr(group_stats, "_second_brackets", lambda *args: (used.append(args), second(*args))[1])
+    exact = sorted(frame.groupBy("k").agg(F.median("a").alias("a"), F.median("b").alias("b")).collect())
+    plain = sorted((r.k, r.a, r.b) for r in group_median(frame, "k", ["a", "b"]).collect())
+    assert plain == [tuple(r) for r in exact] and not used
+    coarse = sorted((r.k, r.a, r.b) for r in group_median(frame, "k", ["a", "b"], accuracy=4, margin=1e-4).collect())
+    assert coarse == plain and used
+    counted, missed, columns = used[0]
+    moved = second(counted, missed, columns).collect()
+    assert any(b is not None and (b.low > b.least or b.high < b.most) for r in moved for b in (r.b_0, r.b_1))
+
+
 def test_modes_take_the_smallest_of_ties(spark):
     rng = random.Random(6)
     rows = [(k, rng.choice("abcd"), rng.choice(["x", "y", None])) for k in range(5) for _ in range(40)]
@@ -178,6 +211,63 @@ def test_modes_take_the_smallest_of_ties(spark):
         assert got[k] == best
 
 
+def test_key_totals_count_surplus_rows_and_orphans_of_all_kinds(spark):
+    rng = random.Random(17)
+    maybe = lambda values: None if rng.random() < 0.1 else rng.choice(values)
+    parents = [(maybe(range(20)),) for _ in range(30)]
+    children = [(str(i) if (i := maybe(range(25))) is not None else None, maybe(range(3)), rng.choice("xy")) for _ in range(200)]
+    children += [("7", 1, "x")] * 100
+    goods = [(c,) for c in "xxz"]
+    parent = spark.createDataFrame(parents, "id long")
+    child = spark.createDataFrame(children, "parent string, line int, good string")
+    good = spark.createDataFrame(goods, "good string")
+    totals = key_totals([
+        Keyed("parent", parent, ["id"]), Keyed("parent", child, ["parent"], refers=True),
+        Keyed("line", child, ["parent", "line"]),
+        Keyed("good", good, ["good"]), Keyed("good", child, ["good"], refers=True),
+        Keyed("nothing", good.limit(0), ["good"]),
+    ])
+    got = {r.kind: (r.surplus, r.orphans) for r in totals.collect()}
+    known = {str(i) for (i,) in parents if i is not None}
+    lines = {(a, b) for a, b, _ in children if a is not None and b is not None}
+    assert got == {
+        "parent": (len(parents) - len(known), sum(a is None or a not in known for a, _, _ in children)),
+        "line": (len(children) - len(lines), 0),
+        "good": (1, sum(c == "y" for *_, c in children)),
+    }
+
+
+def test_all_key_checks_are_one_exchange_of_keys(spark):
+    rows = spark.range(0, 100, 1, 4).select("id", (F.col("id") % 7).cast("int").alias("k"))
+    sides = [Keyed("a", rows, ["id"]), Keyed("a", rows, ["k"], refers=True), Keyed("b", rows, ["id", "k"])]
+    plan = _plan(key_totals(sides))
+    assert "Join" not in plan and "Expand" not in plan
+    # One by key and kind; the other by kind, of one row per kind and task.
+    assert plan.count("Exchange hashpartitioning(kind") == plan.count("Exchange") == 2
+
+
+def test_surplus_of_nested_keys_is_rolled_up(spark):
+    rng = random.Random(18)
+    pick = lambda n: rng.choice([None, *range(n)])
+    frame = spark.createDataFrame([(pick(9), pick(4), pick(3)) for _ in range(400)], "a int, b int, c int")
+    keys = [["a"], ["a", "b"], ["a", "b", "c"]]
+    own = frame.agg(*[(F.count("*") - F.countDistinct(*key)).alias(str(i)) for i, key in enumerate(keys)]).first()
+    rolled = nested_surplus(frame, ["a", "b", "c"], ["x", "y", "z"])
+    assert tuple(rolled.first()) == tuple(own)
+    assert "Expand" not in _plan(rolled) and "Expand" not in _plan(nested_surplus(frame, ["a"], ["x"]))
+    assert tuple(nested_surplus(frame.limit(0), ["a", "b"], ["x", "y"]).first()) == (0, 0)
+    with pytest.raises(ValueError, match="one name"):
+        nested_surplus(frame, ["a", "b"], ["x"])
+
+
+def test_steps_stored_together_keep_their_names(spark):
+    stored = materialize_together(low=spark.range(3), high=spark.range(10, 14))
+    assert [r.id for r in stored["high"].orderBy("id").collect()] == [10, 11, 12, 13]
+    assert stored["low"].count() == 3
+    with pytest.raises(Exception, match="stop here"):
+        materialize_together(low=spark.range(3), bad=spark.range(3).select(F.raise_error(F.lit("stop here"))))
+
+
 def test_materialize_uses_the_shared_folder(spark):
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     assert named in scratch_dir(spark)
