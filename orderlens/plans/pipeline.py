@@ -12,6 +12,7 @@ from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from orderlens.operators.hot_join import hot_keys
 from orderlens.plans.context import resolve_context
 from orderlens.plans.lines import delivered_lines
 from orderlens.plans.model import build_model
@@ -32,6 +33,11 @@ from orderlens.sources.warehouse import Warehouse
 
 # Written by the build because several marts read them; not part of the delivered model.
 INTERMEDIATE = ("delivered_lines", "customer_base")
+# Tables that are joined on the order, stored in buckets of it where the warehouse has buckets. Those that
+# are made from others of them are dealt to the buckets already.
+BUCKET_KEY = "order_id"
+BUCKETED = ("fct_order", "fct_order_item", "fct_payment", "fct_review", "order_summary", "delivered_lines")
+DEALT = ("order_summary", "delivered_lines")
 # Tables written at the same time; each write is a distributed job of its own.
 CONCURRENT_WRITES = 6
 
@@ -60,13 +66,14 @@ class ExportResult:
 
 
 def _write_together(
-    warehouse: Warehouse, kind: str, run_id: str, frames: Mapping[str, DataFrame]
+    warehouse: Warehouse, kind: str, run_id: str, frames: Mapping[str, DataFrame], buckets: int = 0
 ) -> list[tuple[str, DataFrame, int]]:
     """Write independent tables as concurrent jobs: name, stored table and rows of each. The first
     failure is raised once the others have ended, and nothing is committed."""
 
     def write(name: str) -> tuple[str, DataFrame, int]:
-        return name, *warehouse.write(kind, run_id, name, frames[name])
+        key = BUCKET_KEY if buckets and name in BUCKETED else None
+        return name, *warehouse.write(kind, run_id, name, frames[name], key, buckets, dealt=name in DEALT)
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         return list(pool.map(inheritable_thread_target(warehouse.spark)(write), frames))
@@ -75,10 +82,11 @@ def _write_together(
 def ingest(
     warehouse: Warehouse, source_dir: str, force: bool = False, multi_line: bool | None = None
 ) -> IngestResult:
-    """Load the landing files as text. A committed ingest is returned as it is unless forced.
+    """Load the landing files as text. A committed ingest is returned as it is unless forced; one that was
+    overtaken by another is refused.
 
-    ``multi_line`` allows line breaks inside quotes in every file, not only in those of free text; a
-    file that is read so is one task, so it should land in many parts.
+    Files of free text may hold line breaks inside quotes. ``multi_line`` allows them in every file, not
+    only in those; a file that is read so is one task, so it should land in many parts.
     """
     done = warehouse.current("ingest")
     if done is not None and not force:
@@ -87,7 +95,7 @@ def ingest(
     run_id = str(uuid.uuid4())
     landed = read_landing(warehouse.spark, source_dir, multi_line)
     counts = {name: rows for name, _, rows in _write_together(warehouse, "ingest", run_id, landed)}
-    warehouse.commit("ingest", run_id, counts)
+    warehouse.commit("ingest", run_id, counts, based_on=0 if done is None else done["version"])
     return IngestResult(run_id, len(counts), sum(counts.values()))
 
 
@@ -103,23 +111,34 @@ def record_landing(warehouse: Warehouse, source_dir: str, dataset: str, source:
     return files
 
 
+def _buckets(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> int:
+    """Into how many buckets this run's tables go. A bucket is read by one task, so if some order holds
+    more than a bucket's share of a fact, the tables are stored plainly and joins split it."""
+    facts = ("raw_order_items", "raw_order_payments", "raw_order_reviews")
+    hot = any(hot_keys(raw[name], BUCKET_KEY, warehouse.buckets) for name in facts) if warehouse.buckets else True
+    return 0 if hot else warehouse.buckets
+
+
 def build(warehouse: Warehouse, as_of: date | None = None) -> BuildResult:
-    """Typed model, marts and checks of the current ingest, committed together.
+    """Typed model, marts and checks of the current ingest, committed together. A build that was overtaken
+    by another is refused.
 
     Each table is written once and read back by the tables after it, so the order summary and the
     delivered lines are joined once however many marts use them.
     """
+    based_on = warehouse.version("build")
     source = warehouse.current("ingest")
     if source is None:
         raise FileNotFoundError("No existe el warehouse. Ejecute primero ingest.")
     raw = warehouse.tables("ingest", source)
     ctx = resolve_context(raw["raw_orders"], as_of)
+    buckets = _buckets(warehouse, raw)
     built: dict[str, DataFrame] = {}
     counts: dict[str, int] = {}
 
     def store(**frames: DataFrame) -> None:
         """Write tables that do not read each other, side by side."""
-        for name, stored, rows in _write_together(warehouse, "build", ctx.build_id, frames):
+        for name, stored, rows in _write_together(warehouse, "build", ctx.build_id, frames, buckets):
             built[name], counts[name] = stored, rows
 
     store(build_context=ctx.frame(warehouse.spark), **build_model(raw))
@@ -142,7 +161,16 @@ def build(warehouse: Warehouse, as_of: date | None = None) -> BuildResult:
         seller_performance=seller_performance(lines, built["dim_seller"], ctx),
         quality_checks=quality_checks(built, ctx),
     )
-    warehouse.commit("build", ctx.build_id, counts, parent_id=source["run_id"], as_of=ctx.as_of)
+    warehouse.commit(
+        "build",
+        ctx.build_id,
+        counts,
+        parent_id=source["run_id"],
+        as_of=ctx.as_of,
+        bucketed=dict.fromkeys(BUCKETED, BUCKET_KEY) if buckets else None,
+        buckets=buckets,
+        based_on=based_on,
+    )
     return BuildResult(ctx.build_id, ctx.as_of, table_count(warehouse))
 
 

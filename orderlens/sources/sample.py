@@ -16,9 +16,13 @@ class Sample:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._read: dict[str, DataFrame] = {}
 
     def read(self, table: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        """Each table's footers are read once."""
+        if table not in self._read:
+            self._read[table] = self.spark.read.parquet(f"{self.sf_dir}/{table}.parquet")
+        return self._read[table]
 
     def _nations(self) -> DataFrame:
         return self.read("nation").select("n_nationkey", "n_name")

@@ -9,8 +9,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlens.plans import pipeline
+from orderlens.plans.context import BuildContext
 from orderlens.plans.pipeline import build, export, ingest, run_all, validate
 from orderlens.plans.quality import PublicationBlocked
+from orderlens.sources.commits import ConcurrentRun
 from orderlens.sources.published import PUBLISHED_SCHEMAS, check_all_published, check_published, read_published
 from orderlens.sources.warehouse import Warehouse
 from tests.conftest import find, land, story_rows
@@ -295,3 +297,56 @@ def test_all_published_tables_are_checked_at_once(built, tmp_path):
     part.write_text(text, encoding="utf-8")
     with pytest.raises(ValueError, match=r"executive_monthly: month_start \(1: 'March'\)"):
         check_all_published(spark, public, may_be_empty=True)
+
+
+def test_a_build_in_buckets_joins_orders_without_moving_them(spark, tmp_path, crowd_dir):
+    """The same rows as a plain build; the large joins are between files of the same orders."""
+    plain, dealt = (Warehouse(spark, str(tmp_path / f"wh{n}"), n) for n in (0, 3))
+    for warehouse in (plain, dealt):
+        ingest(warehouse, crowd_dir)
+        build(warehouse, date(2019, 12, 31))
+    run = dealt.current("build")
+    assert run["buckets"] == 3 and set(run["bucketed"]) == set(pipeline.BUCKETED)
+    assert plain.current("build")["buckets"] == 0
+    left, right = plain.tables("build"), dealt.tables("build")
+    for name in ("order_summary", "delivered_lines", "seller_performance", "executive_monthly"):
+        columns = [c for c in left[name].columns if c != "build_id"]
+        assert sorted(map(str, left[name].select(columns).collect())) == sorted(map(str, right[name].select(columns).collect()))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summary = pipeline.order_summary(*(right[t] for t in ("fct_order", "fct_order_item", "fct_payment", "fct_review")))
+        lines = pipeline.delivered_lines(right["order_summary"], right["fct_order_item"], BuildContext(date(2019, 12, 31)))
+        for frame in (summary, lines):
+            plan = frame._jdf.queryExecution().executedPlan().toString()
+            assert "SortMergeJoin" in plan and "Exchange" not in plan
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_hot_order_keeps_the_tables_plain(spark, tmp_path, crowd_dir):
+    """A bucket is one task's; an order with more than a bucket's share of the lines is not put in one."""
+    file = Path(crowd_dir) / "olist_order_items_dataset.csv"
+    line = next(text for text in file.read_text().split("\n") if text.startswith("o000,"))
+    with file.open("a", encoding="utf-8") as target:
+        for n in range(2, 50):
+            target.write(line.replace("o000,1,", f"o000,{n},") + "\n")
+    warehouse = Warehouse(spark, str(tmp_path / "wh"), 3)
+    ingest(warehouse, crowd_dir)
+    build(warehouse)
+    assert warehouse.current("build")["buckets"] == 0
+    assert warehouse.tables("build")["delivered_lines"].filter("order_id = 'o000'").count() == 49
+
+
+def test_a_build_that_was_overtaken_is_refused(warehouse, story_dir, monkeypatch):
+    ingest(warehouse, story_dir)
+    ending = pipeline.quality_checks
+
+    def then_another(*args):
+        monkeypatch.setattr(pipeline, "quality_checks", ending)
+        build(warehouse)
+        return ending(*args)
+
+    monkeypatch.setattr(pipeline, "quality_checks", then_another)
+    with pytest.raises(ConcurrentRun, match="build"):
+        build(warehouse)
+    assert warehouse.version("build") == warehouse.current("build")["version"] == 2
