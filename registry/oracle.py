@@ -338,6 +338,12 @@ def month_name(day: str) -> str:
     return f"list_extract({MONTH_NAMES}, cast(month({day}) as integer)) || ' ' || cast(year({day}) as varchar)"
 
 
+def told_apart(name: str, value: str) -> str:
+    """A double as a finite number, and in words what else it is."""
+    return f"""case when isfinite({value}) then round({value}, 9) end as {name},
+        case when isnan({value}) then 'nan' when isinf({value}) then if({value} > 0, 'inf', '-inf') end as {name}_kind"""
+
+
 def orphans(key: str, rows: str, others: str) -> str:
     return sql(f"select {key}, count(*) as rows from {rows} where {key} not in (select {key} from {others}) group by 1")
 
@@ -368,6 +374,15 @@ ORACLE: dict[str, str] = {
                 join states s on s.zip = p.zip and s.place = 1
            group by 1"""
     ),
+    "dim_geography_of_bad_points": sql(
+        f"""select zip_code_prefix, {told_apart('latitude', 'middle')}, longitude, source_points from (
+                select c_nationkey as zip_code_prefix, count(*) as source_points,
+                       median(case when cast(floor(abs(c_acctbal / 100) * 10000) as bigint) % 3
+                                        < if(c_nationkey % 5 = 0, 2, 1)
+                                   then 'nan'::double else c_acctbal / 100 end) as middle,
+                       round(median(-c_acctbal / 50), 9) as longitude
+                from customer, nation where c_nationkey = n_nationkey group by 1)"""
+    ),
     "dim_product": sql(
         """select cast(p_partkey as varchar) as product_id, category_name_pt, category_name, p_size as photos_qty,
                   p_retailprice as weight_g, cast(p_size as double) as length_cm, cast(null as double) as height_cm,
@@ -491,6 +506,14 @@ ORACLE: dict[str, str] = {
                   median(value) as value
            from events group by 1"""
     ),
+    "group_median_of_strange": sql(
+        f"""select grp, events, {told_apart('value', 'middle')} from (
+                select event_type || '-' || user_id % 11 as grp, count(*) as events,
+                       median(case when event_id * 7 % 10 < user_id % 11
+                                   then case user_id % 3 when 0 then 'nan' when 1 then 'inf' else '-inf' end::double
+                                   when event_id % 13 <> 0 then value end) as middle
+                from events group by 1)"""
+    ),
     "customer_segment_summary": sql(SUMMARY),
     "customer_cross_segment": sql(CROSS),
     "customer_category_affinity": sql(AFFINITY),
@@ -741,6 +764,9 @@ ORACLE: dict[str, str] = {
                   cast(seller_id as varchar) as seller_id, shipping_limit_at, price as item_value_brl,
                   freight as freight_value_brl from sold"""
     ),
+    "pipeline_seller_performance_in_buckets": sql(
+        SELLER.replace("'build-0' as build_id, ", "").replace(" seller_id,", " cast(seller_id as varchar) as seller_id,")
+    ),
     "pipeline_segment_summary": sql(SUMMARY.replace("'build-0' as build_id, ", "")),
     "published_roundtrip": sql(
         f"""select {TAGS}, cast(seller_id as varchar) as seller_id, seller_state, orders, units,

@@ -13,7 +13,7 @@ from datetime import date
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orderlens.contracts import RAW_TABLES, RawTable
@@ -22,13 +22,14 @@ from orderlens.functions.labels import CATEGORY_LABELS, label_or_null, unmapped
 from orderlens.functions.parsing import blank_to_null, parse_decimal, parse_double, parse_int, parse_timestamp
 from orderlens.operators.abc import abc_class, bucket_cumulative, value_buckets
 from orderlens.operators.group_stats import group_median, group_mode
+from orderlens.operators.keys import nested_surplus
 from orderlens.operators.prefix_sum import prefix_sum
 from orderlens.plans import lines as lines_plan
 from orderlens.plans import metrics, model, orders, performance, publication, quality, segmentation
 from orderlens.plans.context import BuildContext, last_purchase_date
 from orderlens.plans.pipeline import CONCURRENT_WRITES, build, export, ingest, validate
 from orderlens.plans.quality import PublicationBlocked
-from orderlens.session import materialize, scratch_dir
+from orderlens.session import materialize, materialize_together, scratch_dir
 from orderlens.sources.landing import landing_manifest, snapshot_manifest
 from orderlens.sources.published import check_all_published, check_published, read_published, write_csv
 from orderlens.sources.sample import Sample
@@ -72,7 +73,11 @@ class Canonical:
         return lines_plan.delivered_lines(self["order_summary"], self.sample.items(), self.ctx)
 
     def _customer_base(self):
-        return segmentation.customer_base(self["stored_lines"], self.sample.products())
+        return segmentation.customer_base(self._lines_of_people(), self.sample.products())
+
+    def _lines_of_people(self):
+        """Lines with their person. Where no mart of the query needs reviews, they are not joined."""
+        return self["stored_lines" if "stored_lines" in self._built else "stored_person_lines"]
 
     def _stored_summary(self):
         return materialize(self["order_summary"])
@@ -80,6 +85,16 @@ class Canonical:
     def _stored_lines(self):
         return materialize(self["delivered_lines"])
 
+    def _person_lines(self):
+        return lines_plan.delivered_lines(self.sample.person_orders(), self.sample.items(), self.ctx)
+
+    def _stored_person_lines(self):
+        return materialize(self["person_lines"])
+
+    def store(self, **names: str) -> None:
+        """Store frames that do not read each other, side by side: by the name they get, what they hold."""
+        self._built |= materialize_together(**{name: self[held] for name, held in names.items()})
+
     def _stored_base(self):
         return materialize(self["customer_base"])
 
@@ -100,7 +115,7 @@ class Canonical:
 
     def _customer_category_affinity(self):
         return segmentation.customer_category_affinity(
-            self["stored_lines"], self.sample.products(), self["customer_segmentation"], self.ctx
+            self._lines_of_people(), self.sample.products(), self["customer_segmentation"], self.ctx
         )
 
     def _category_performance(self):
@@ -109,23 +124,25 @@ class Canonical:
     def _seller_performance(self):
         return performance.seller_performance(self["stored_lines"], self.sample.sellers(), self.ctx)
 
+    def _full_summary(self):
+        """The order summary with address, which holds every column and row of the orders."""
+        s = self.sample
+        return orders.order_summary(s.orders(), s.items(), s.payments(), s.reviews())
+
     def _quality_checks(self):
-        """The summary holds every column and row of the orders and feeds the lines as well, so it is
-        written first and stands in for the orders."""
         s = self.sample
-        items = s.items()
-        summary = materialize(orders.order_summary(s.orders(), items, s.payments(), s.reviews()))
-        self._built["order_summary"] = summary
+        self.store(stored_full_summary="full_summary", stored_person_lines="person_lines")
+        summary = self["stored_full_summary"]
         return quality.quality_checks(
             {
                 "fct_order": summary,
                 "bridge_customer_order_address": s.bridge(),
-                "fct_order_item": items,
+                "fct_order_item": s.items(),
                 "dim_product": s.products(),
                 "dim_seller": s.sellers(),
                 "order_summary": summary,
-                "customer_segmentation": self["customer_segmentation"],
-                "delivered_lines": self["stored_lines"],
+                "customer_segmentation": materialize(self["customer_segmentation"]),
+                "delivered_lines": self["stored_person_lines"],
             },
             self.ctx,
         )
@@ -262,6 +279,41 @@ def _group_median_of_unknown(spark, sf_dir):
     return group_median(keyed, "known_type", ["value"], count="events")
 
 
+def _group_median_of_strange(spark, sf_dir):
+    """Medians over NaN, infinities and NULL, mixed in as many shares as there are groups."""
+    events = Sample(spark, sf_dir).read("events")
+    kind, share = F.col("event_id") * 7 % 10, F.col("user_id") % 11
+    strange = F.when(kind < share, F.element_at(F.array(*[F.lit(float(x)) for x in ("nan", "inf", "-inf")]), _third()))
+    value = F.coalesce(strange, F.when(F.col("event_id") % 13 != 0, F.col("value")))
+    keyed = events.select(F.concat_ws("-", "event_type", share).alias("grp"), value.alias("value"))
+    medians = group_median(keyed, "grp", ["value"], count="events")
+    return medians.select("grp", "events", *_told_apart("value", F.col("value")))
+
+
+def _third() -> Column:
+    return (F.col("user_id") % 3 + 1).cast("int")
+
+
+def _told_apart(name: str, value: Column) -> list[Column]:
+    """A double as a finite number, NULL otherwise, and in words what else it is."""
+    endless = F.abs(value) == float("inf")
+    kind = F.when(F.isnan(value), "nan").when(endless & (value > 0), "inf").when(endless, "-inf")
+    return [F.when(kind.isNull(), F.round(value, 9)).alias(name), kind.alias(f"{name}_kind")]
+
+
+def _dim_geography_of_bad_points(spark, sf_dir):
+    """Places where a third of all latitudes, and two thirds in every fifth place, are the text NaN."""
+    raw = Sample(spark, sf_dir).raw_geolocation()
+    zip_code = F.col("geolocation_zip_code_prefix").cast("int")
+    cents = F.floor(F.abs(F.col("geolocation_lat").cast("double")) * 10_000).cast("long")
+    bad = cents % 3 < F.when(zip_code % 5 == 0, 2).otherwise(1)
+    places = model.dim_geography(
+        raw.withColumn("geolocation_lat", F.when(bad, "NaN").otherwise(F.col("geolocation_lat")))
+    )
+    latitude = _told_apart("latitude", F.col("latitude"))
+    return places.select("zip_code_prefix", *latitude, F.round("longitude", 9).alias("longitude"), "source_points")
+
+
 # quality
 
 
@@ -290,12 +342,8 @@ def _payment_differences(spark, sf_dir):
 
 
 def _key_surplus(spark, sf_dir):
-    s = Sample(spark, sf_dir)
-    return s.items().agg(
-        quality.surplus_rows("order_id").alias("order_rows"),
-        quality.surplus_rows("order_id", "order_item_id").alias("order_item_rows"),
-        quality.surplus_rows("order_id", "order_item_id", "product_id").alias("order_item_product_rows"),
-    )
+    names = ["order_rows", "order_item_rows", "order_item_product_rows"]
+    return nested_surplus(Sample(spark, sf_dir).items(), ["order_id", "order_item_id", "product_id"], names)
 
 
 def _quality_summary(spark, sf_dir):
@@ -311,7 +359,13 @@ def _check_listing(spark, sf_dir):
 
 def _executive_facts(spark, sf_dir):
     canonical = Canonical(spark, sf_dir)
-    canonical._built["order_summary"] = canonical["stored_summary"]
+    canonical.store(order_summary="order_summary", stored_lines="delivered_lines")
+    canonical.store(
+        stored_base="customer_base",
+        category_performance="category_performance",
+        executive_monthly="executive_monthly",
+        delivery_experience="delivery_experience",
+    )
     tables = canonical.tables(
         "executive_monthly", "customer_segment_summary", "category_performance", "delivery_experience"
     )
@@ -320,7 +374,7 @@ def _executive_facts(spark, sf_dir):
 
 def _headline_kpis(spark, sf_dir):
     canonical = Canonical(spark, sf_dir)
-    canonical._built["order_summary"] = canonical["stored_summary"]
+    canonical.store(executive_monthly="executive_monthly", stored_person_lines="person_lines")
     tables = canonical.tables("executive_monthly", "customer_segment_summary")
     return publication.headline_kpis(tables)
 
@@ -372,7 +426,7 @@ def _spreadsheet_guard(spark, sf_dir):
 
 def _suppressed_rows(spark, sf_dir):
     canonical = Canonical(spark, sf_dir)
-    canonical._built["order_summary"] = canonical["stored_summary"]
+    canonical.store(order_summary="order_summary", stored_lines="delivered_lines")
     suppressed = metrics.suppressed_rows(canonical.tables(*metrics.COVERED_TABLES))
     return suppressed.withColumnRenamed(metrics.SUPPRESSED_ROWS, "filas_suprimidas")
 
@@ -417,7 +471,7 @@ def _raw_frames(s: Sample) -> dict[str, DataFrame]:
     }
 
 
-def _ingested(spark, sf_dir) -> tuple[Warehouse, str]:
+def _ingested(spark, sf_dir, buckets: int = 0) -> tuple[Warehouse, str]:
     """All nine tables written as landing CSV and ingested."""
     folder = _new_folder(spark)
     frames = _raw_frames(Sample(spark, sf_dir))
@@ -427,7 +481,7 @@ def _ingested(spark, sf_dir) -> tuple[Warehouse, str]:
 
     with ThreadPoolExecutor(CONCURRENT_WRITES) as pool:
         list(pool.map(inheritable_thread_target(spark)(land), RAW_TABLES))
-    warehouse = Warehouse(spark, f"{folder}/warehouse")
+    warehouse = Warehouse(spark, f"{folder}/warehouse", buckets)
     ingest(warehouse, f"{folder}/landing")
     return warehouse, folder
 
@@ -452,11 +506,11 @@ def _ingested_order_items(spark, sf_dir):
     return model.fct_order_item(warehouse.tables("ingest")["raw_order_items"])
 
 
-def _pipeline_mart(name: str):
+def _pipeline_mart(name: str, buckets: int = 0):
     """A mart of a whole run: landing files, ingest, build. Its build id is new every time."""
 
     def run(spark, sf_dir):
-        warehouse, _ = _ingested(spark, sf_dir)
+        warehouse, _ = _ingested(spark, sf_dir, buckets)
         build(warehouse, CONTEXT.as_of)
         return _rounded(warehouse.tables("build")[name].drop("build_id"))
 
@@ -497,6 +551,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dim_customer": _model(lambda s: model.dim_customer(s.raw_customers())),
     "bridge_customer_order_address": _model(lambda s: model.bridge_customer_order_address(s.raw_customers())),
     "dim_geography": _model(lambda s: _rounded(model.dim_geography(s.raw_geolocation()))),
+    "dim_geography_of_bad_points": _dim_geography_of_bad_points,
     "dim_product": _model(lambda s: model.dim_product(s.raw_products(), s.raw_translation())),
     "dim_seller": _model(lambda s: model.dim_seller(s.raw_sellers())),
     "fct_order": _model(_fct_order),
@@ -522,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prefix_by_state": _prefix_by_state,
     "group_stats": _group_stats,
     "group_median_of_unknown": _group_median_of_unknown,
+    "group_median_of_strange": _group_median_of_strange,
     "customer_segment_summary": _table("customer_segment_summary"),
     "customer_cross_segment": _table("customer_cross_segment"),
     "customer_category_affinity": _table("customer_category_affinity"),
@@ -620,6 +676,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_state": _ingest_state,
     "ingested_order_items": _ingested_order_items,
     "pipeline_segment_summary": _pipeline_mart("customer_segment_summary"),
+    "pipeline_seller_performance_in_buckets": _pipeline_mart("seller_performance", buckets=4),
     "published_roundtrip": _published_roundtrip,
     "gate_of_a_run": _gate_of_a_run,
     "landing_manifest": _landing_manifest,

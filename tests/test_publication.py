@@ -199,7 +199,7 @@ def test_published_files_are_read_with_their_types(spark, tmp_path):
 @pytest.mark.parametrize(
     ("changed", "message"),
     [
-        ({"units": "60.5"}, r"Tipo invalido.*units \(1\)"),
+        ({"units": "60.5"}, r"Tipo invalido.*units \(1: '60.5'\)"),
         ({"avg_review_score": "good"}, "avg_review_score"),
         ({"as_of_date": "2018-2-1"}, "as_of_date"),
         ({"as_of_date": "2018-02-30"}, "as_of_date"),
