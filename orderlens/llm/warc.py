@@ -4,8 +4,8 @@ An archive file begins with a skippable frame that holds a Zstandard dictionary,
 of that same archive; every record follows as a frame of its own, so that one record can be read
 without those before it. Of records with equal payloads one is a response and the others are revisits
 that name it. Archives are written to a shared folder by the tasks, each under the name of its
-partition and number: first under a name of its attempt, then renamed whole, so a task that is
-repeated after a lost executor replaces its files with equal ones.
+partition, number and attempt. A table lists them; it is written by the same tasks and holds those of
+one attempt each, so what an attempt left behind that was lost or overtaken is never read.
 """
 
 from __future__ import annotations
@@ -36,6 +36,9 @@ LEVEL = 3
 LEAST_PAYLOAD = 100
 """Payloads shorter than this are never revisits."""
 
+READERS = 10_000
+"""Tasks that read archives, at most; more archives are several to a task."""
+
 MAGIC = 0x184D2A5D
 """Fixed value: the skippable frame that holds a WARC dictionary."""
 
@@ -143,19 +146,15 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        store, root = fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+        store, root = _store(folder)
         task = TaskContext.get()
         store.create_dir(root, recursive=True)
 
         def close(records: list[bytes], number: int) -> pa.RecordBatch:
-            name = f"{task.partitionId():06d}-{number:05d}.warc.zst"
+            name = f"{task.partitionId():06d}-{number:05d}-{task.taskAttemptId()}.warc.zst"
             data = pack(records)
-            attempt = f"{root}/_{name}.{task.taskAttemptId()}"
-            with store.open_output_stream(attempt) as out:
+            with store.open_output_stream(f"{root}/{name}") as out:
                 out.write(data)
-            store.move(attempt, f"{root}/{name}")
             return pa.record_batch([[name], [len(records)], [len(data)]], names=["archive", "records", "bytes"])
 
         records, size, number = [], 0, 0
@@ -169,9 +168,23 @@ def write(pages: DataFrame, folder: str) -> DataFrame:
         if records:
             yield close(records, number)
 
-    written = with_referrals(pages).mapInArrow(run, WRITTEN)
-    written.write.parquet(f"{folder}-written")
-    return pages.sparkSession.read.parquet(f"{folder}-written")
+    with_referrals(pages).mapInArrow(run, WRITTEN).write.parquet(f"{folder}-written")
+    return written(pages.sparkSession, folder)
+
+
+def _store(folder: str):
+    """The file system of a folder, and the folder's path there."""
+    from pyarrow import fs
+
+    # Hadoop's names of the object store's scheme.
+    if folder.startswith(("s3a://", "s3n://")):
+        folder = "s3" + folder[3:]
+    return fs.FileSystem.from_uri(folder if ":" in folder else f"file://{folder}")
+
+
+def written(spark: SparkSession, folder: str) -> DataFrame:
+    """The archives of ``folder`` that were written to the end: name, number of records and bytes."""
+    return spark.read.parquet(f"{folder}-written")
 
 
 def _read(content: bytes) -> Iterator[tuple]:
@@ -193,10 +206,18 @@ def _read(content: bytes) -> Iterator[tuple]:
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """Per record of the archives in ``folder``: page_id, payload_bytes, payload_digest, record_type,
-    refers_to and url. Payloads of responses are decompressed and checked against their digests."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.warc.zst").load(folder)
-    return map_rows(files.select("content"), _read, READ)
+    """Per record of the archives that ``written`` lists: page_id, payload_bytes, payload_digest,
+    record_type, refers_to and url. Payloads of responses are decompressed and checked against their
+    digests. An archive is read by one task, and a task reads a few; other files are not looked at."""
+    listed = written(spark, folder).select("archive")
+    tasks = max(1, min(listed.count(), READERS))
+
+    def run(name: str) -> Iterator[tuple]:
+        store, root = _store(folder)
+        with store.open_input_stream(f"{root}/{name}") as source:
+            yield from _read(source.read())
+
+    return map_rows(listed.repartition(tasks, "archive"), run, READ)
 
 
 def archive(pages: DataFrame) -> DataFrame:

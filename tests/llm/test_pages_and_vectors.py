@@ -37,6 +37,31 @@ def test_archives_give_back_what_was_written(spark, monkeypatch):
     assert warc.archive(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_only_listed_archives_are_read(spark, tmp_path):
+    """Another attempt's archives, cut at other rows, and one that was never finished stand beside."""
+    rows = [(i, f"http://x.example/{i}", f"<p>{i}</p>" * 40) for i in range(60)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    folder = f"{tmp_path}/archives"
+    listed = warc.write(frame.repartition(3), folder).collect()
+    assert sum(r.records for r in listed) == 60
+    record = warc.record(7, "http://x.example/7", b"<p>7</p>" * 40, "0" * 64, None)
+    for name in ("000000-00000-99.warc.zst", "000009-00000-98.warc.zst"):
+        (tmp_path / "archives" / name).write_bytes(warc.pack([record]))
+    (tmp_path / "archives" / "000001-00001-97.warc.zst").write_bytes(b"cut off")
+    assert sorted(r.page_id for r in warc.read(spark, folder).collect()) == list(range(60))
+
+
+def test_a_repeated_task_writes_under_another_name(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "u", "<p>x</p>")], "page_id long, url string, html string")
+    folder = f"{tmp_path}/archives"
+    names = [warc.write(frame, folder).first().archive]
+    spark.read.parquet(f"{folder}-written").write.parquet(f"{tmp_path}/kept")
+    assert warc.read(spark, folder).count() == 1
+    frame.write.parquet(f"{tmp_path}/again")
+    names.append(warc.write(frame, f"{tmp_path}/other").first().archive)
+    assert len(set(names)) == 2
+
+
 def test_an_archive_begins_with_its_dictionary_and_each_record_is_a_frame():
     import zstandard
 
