@@ -9,7 +9,7 @@ number for each language whatever the size of the table; predicting reads whole
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
@@ -26,6 +26,8 @@ DIMENSIONS = 1 << 13
 ORDERS = (1, 2, 3)
 EPOCHS = 12
 UNDETERMINED = "und"
+LEAST_SCORE = 0.5
+"""Score under which ``determined`` rejects a document: less than an even chance of the language."""
 
 # Families of common languages. A language not named here is a family of its own.
 FAMILIES = {
@@ -211,16 +213,25 @@ def identify(docs: DataFrame) -> DataFrame:
     return predict(docs, learn(docs))
 
 
-def determined(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text is not ``und`` to a model learned from ``docs``.
+def determined(
+    docs: DataFrame, least_score: float = LEAST_SCORE, wanted: Collection[str] | None = None
+) -> DataFrame:
+    """The rows of ``docs``, all columns, in a language that a model learned from ``docs`` tells apart.
 
-    Where nothing can be learned, the rows whose text has a letter.
+    A document is rejected where its prediction is ``und``, its score is under ``least_score``, or its
+    language is none of ``wanted`` (None: any learned language). The score is low where the machines do not
+    tell the languages apart, as in a mixture; text in a language that was never learned is not always
+    told from those that were. Where nothing can be learned, the rows whose
+    text has a letter stay. Only the text decides, so equal texts stay or go together.
     """
     broadcast = docs.sparkSession.sparkContext.broadcast(learn(docs))
 
     def known(text: str | None) -> bool:
         model = broadcast.value
-        return model.predict(text)[0] != UNDETERMINED if model.families else len(grams(text)[0]) > 0
+        if not model.families:
+            return len(grams(text)[0]) > 0
+        language, score = model.predict(text)
+        return language != UNDETERMINED and score >= least_score and (wanted is None or language in wanted)
 
     def keep(batches):
         import pyarrow as pa

@@ -188,7 +188,10 @@ def distinct(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS)
     row without an id is kept where its group has no other. Equal rows count once.
     """
     content = F.coalesce(F.col("doc_id"), F.lit(0)), F.col("doc_id").isNull(), F.coalesce(F.col("text"), F.lit(""))
-    keyed = {"row key 1": F.xxhash64(*content), "row key 2": F.xxhash64(F.lit("second"), *content)}
+    # Names that no column of the rows has, in any case of letters.
+    taken = max(map(len, docs.columns))
+    first, second = (f"key {n} " + "_" * taken for n in (1, 2))
+    keyed = {first: F.xxhash64(*content), second: F.xxhash64(F.lit("second"), *content)}
     own = docs.select("doc_id", "text", *(key.alias(name) for name, key in keyed.items()))
     stored = materialize(map_rows(own, _keyed(shingle), "none boolean, id long, k1 long, k2 long, fp long"))
     grouped = _grouped(stored, F.min(F.struct("none", "id", "k1", "k2")), max_bits)

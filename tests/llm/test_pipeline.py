@@ -10,7 +10,7 @@ import re
 import pytest
 
 import corpus_pipeline
-from orderlens.llm import decontaminate, secret_scan, simhash
+from orderlens.llm import decontaminate, langid, secret_scan, simhash
 from orderlens.llm.queries import ORACLE, QUERIES
 from registry.compare import connect, difference
 
@@ -26,7 +26,7 @@ def test_query_equals_its_sql(spark, name):
 
 
 def test_there_is_one_query_for_each_operator():
-    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", name)[1]) for name in QUERIES) == list(range(1, 14))
 
 
 def test_the_stages_keep_clean_documents_and_take_effect(spark):
@@ -56,6 +56,25 @@ def test_the_stages_keep_clean_documents_and_take_effect(spark):
             assert whole != bool(secret.search(r.text))
 
 
+def test_the_language_stage_rejects_what_its_model_does_not_tell_apart(spark):
+    """The sample's documents stay; mixtures of languages that the model is unsure of go, as do texts
+    without a letter."""
+    docs = spark.read.parquet(f"{SAMPLE}/documents.parquet")
+    texts = {r.lang: r.text.split() for r in docs.where("length(text) > 900").orderBy("doc_id").collect()}
+    model = langid.learn(docs)
+    rng = random.Random(21)
+    words = [word for lang in ("de", "en", "es", "fr") for word in texts[lang][:80]]
+    mixed = [" ".join(rng.choices(words, k=rng.randint(4, 40))) for _ in range(300)]
+    unsure = [text for text in mixed if model.predict(text)[1] < langid.LEAST_SCORE]
+    assert unsure
+    added = [*mixed, "12 .. 40", "", None]
+    rows = [(-1 - i, text, None, None, None) for i, text in enumerate(added)]
+    stage = dict(corpus_pipeline.STAGES)["language_id"]
+    kept = [r.doc_id for r in stage(spark, docs.unionByName(spark.createDataFrame(rows, docs.schema)), SAMPLE).collect()]
+    sure = [i for i, text, *_ in rows if text in mixed and text not in unsure]
+    assert sorted(kept) == sorted(sure + [r.doc_id for r in docs.select("doc_id").collect()])
+
+
 def test_stages_return_the_columns_of_documents(spark):
     docs = spark.read.parquet(f"{SAMPLE}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:

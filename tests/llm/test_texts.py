@@ -272,6 +272,9 @@ def test_languages_are_learned_from_part_and_told_on_the_rest(spark):
     assert len(held) > 60 and sum(r.lang_pred == truth[r.doc_id] for r in held) >= 0.98 * len(held)
     kept = langid.determined(frame(spark, rows))
     assert {r.doc_id for r in kept.collect()} == set(truth) - {1000, 1001, 1002}
+    english = {r.doc_id for r in langid.determined(frame(spark, rows), wanted=["en"]).collect()}
+    assert english <= {r.doc_id for r in got if r.lang_pred == "en"} and 1003 in english
+    assert langid.determined(frame(spark, rows), least_score=1.01).count() == 0
     unknown = [(1, "some text", None), (2, "", None)]
     assert [r.lang_pred for r in langid.identify(frame(spark, unknown)).collect()] == ["und", "und"]
     assert [r.doc_id for r in langid.determined(frame(spark, unknown)).collect()] == [1]
