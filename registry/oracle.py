@@ -602,6 +602,14 @@ ORACLE: dict[str, str] = {
                 order by merchandise_gmv_brl desc, category_name limit 12)
             order by merchandise_gmv_brl, category_name"""
     ),
+    "top_brands": sql(
+        f"""select * from (
+                select category_name, 'Marca ' || substr(category_name, 7) as category_label, merchandise_gmv_brl,
+                       orders, {money('merchandise_gmv_brl')} as gmv_text, {whole('orders')} as orders_text
+                from categories where coverage_status = 'PUBLISHABLE'
+                order by merchandise_gmv_brl desc, category_name limit 12)
+            order by merchandise_gmv_brl, category_name"""
+    ).replace(VIEWS["goods"], "select p_partkey as product_id, p_brand as category_name from part"),
     "delivery_summary": sql(
         """select delivery_status,
                   case delivery_status when 'LATE' then 'Con demora' when 'ON_TIME' then 'A tiempo'
@@ -781,4 +789,57 @@ ORACLE: dict[str, str] = {
                   count(case when status = 'FAIL' and severity = 'HIGH' then 1 end) = 0 as exported
            from checks"""
     ),
+    "exported_tables": sql(
+        " union all ".join(
+            f"""select 0 as high_failures, '{table}' as table_name, count(*) as manifest_rows, count(*) as csv_rows,
+                       count(*) as spreadsheet_rows, count(case when {public} then 1 end) as public_rows
+                from {view}"""
+            for table, view, public in (
+                ("executive_monthly", "monthly", "true"),
+                ("customer_segment_summary", "summary", "coverage_status = 'PUBLISHABLE'"),
+                ("customer_cross_segment", "crossed", "coverage_status = 'PUBLISHABLE'"),
+                ("customer_category_affinity", "affinity", "coverage_status = 'PUBLISHABLE'"),
+                ("category_performance", "categories", "coverage_status = 'PUBLISHABLE'"),
+                ("seller_performance", "merchants", "coverage_status = 'PUBLISHABLE'"),
+                ("delivery_experience", "deliveries", "coverage_status = 'PUBLISHABLE'"),
+                ("quality_checks", "checks", "true"),
+            )
+        )
+    ),
+    "exported_public_category_performance": sql(
+        CATEGORY.replace("'build-0' as build_id, ", "").replace(
+            "merchandise_gmv_brl,", "cast(merchandise_gmv_brl as double) as merchandise_gmv_brl,"
+        )
+        + ONLY_PUBLIC
+    ),
+    "run_outcomes": sql(
+        """select * from (values
+               ('second ingest', 'the same'),
+               ('forced ingest', 'another'),
+               ('forced rows', (select cast((select count(*) from people) + (select count(*) from customer)
+                  + 2 * (select count(*) from lineitem) + (select count(*) from events)
+                  + (select count(*) from orders) + (select count(*) from part) + (select count(*) from supplier)
+                  + (select count(distinct p_type) - 1 from part) as varchar))),
+               ('missing sources', 'Falta la fuente requerida: olist_orders_dataset.csv, olist_products_dataset.csv'),
+               ('swapped columns',
+                'Contrato incompatible en raw_sellers: esperado=[''seller_id'', ''seller_zip_code_prefix'', '
+                    || '''seller_city'', ''seller_state''], recibido=[''seller_state'', ''seller_city'', '
+                    || '''seller_zip_code_prefix'', ''seller_id'']'),
+               ('ingest afterwards', 'kept'),
+               ('overtaken ingest',
+                'ingest: version 2 was committed since version 1, from which this run began'),
+               ('tables', '31'),
+               ('tables built', '31'),
+               ('build time', 'True'),
+               ('dashboard columns', 'accepted'),
+               ('lacking columns', 'Faltan columnas en executive_monthly: as_of_date, units'),
+               ('lacking table', 'Falta la tabla requerida del dashboard: executive_monthly')
+           ) as told(outcome, said)"""
+    ),
+    "landed_digests": sql(
+        """select part, octet_length(encode(content)) as bytes, sha256(content) as sha256
+           from (select c_custkey // 500 as part,
+                        string_agg(c_custkey || ',' || c_mktsegment || chr(10), '' order by c_custkey) as content
+                 from customer group by 1)"""
+    ),
 }

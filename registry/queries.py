@@ -27,9 +27,10 @@ from orderlens.operators.prefix_sum import prefix_sum
 from orderlens.plans import lines as lines_plan
 from orderlens.plans import metrics, model, orders, performance, publication, quality, segmentation
 from orderlens.plans.context import BuildContext, last_purchase_date
-from orderlens.plans.pipeline import CONCURRENT_WRITES, build, export, ingest, validate
+from orderlens.plans.pipeline import CONCURRENT_WRITES, build, export, ingest, table_count, validate
 from orderlens.plans.quality import PublicationBlocked
 from orderlens.session import materialize, materialize_together, scratch_dir
+from orderlens.sources.commits import ConcurrentRun
 from orderlens.sources.landing import landing_manifest, snapshot_manifest
 from orderlens.sources.published import check_all_published, check_published, read_published, write_csv
 from orderlens.sources.sample import Sample
@@ -383,6 +384,20 @@ def _dataset(build: Callable[[DataFrame], DataFrame], table: str):
     return lambda spark, sf_dir: _rounded(build(Canonical(spark, sf_dir)[table]))
 
 
+# Labels of the sample's brands.
+BRAND_LABELS = {f"Brand#{i}": f"Marca {i}" for i in range(1, 26)}
+
+
+def _top_brands(spark, sf_dir):
+    """The first twelve of 25 groups."""
+    canonical = Canonical(spark, sf_dir)
+    brands = canonical.sample.read("part").select(
+        F.col("p_partkey").alias("product_id"), F.col("p_brand").alias("category_name")
+    )
+    brands = performance.category_performance(canonical["stored_lines"], brands, CONTEXT)
+    return _rounded(publication.top_categories(brands, BRAND_LABELS))
+
+
 def _category_labels(spark, sf_dir):
     """Labels of every category, and which have none in the published table."""
     named = Sample(spark, sf_dir).products().groupBy("category_name").agg(F.count("*").alias("products"))
@@ -471,10 +486,15 @@ def _raw_frames(s: Sample) -> dict[str, DataFrame]:
     }
 
 
-def _ingested(spark, sf_dir, buckets: int = 0) -> tuple[Warehouse, str]:
-    """All nine tables written as landing CSV and ingested."""
+def _ingested(spark, sf_dir, buckets: int = 0, numbered: bool = False) -> tuple[Warehouse, str]:
+    """All nine tables written as landing CSV and ingested. The sample repeats line numbers within an order,
+    which the gate refuses; ``numbered`` gives every line a number of its own."""
     folder = _new_folder(spark)
     frames = _raw_frames(Sample(spark, sf_dir))
+    if numbered:
+        items = frames["raw_order_items"]
+        own = F.pmod(F.xxhash64(*items.columns), F.lit(2**31 - 1)).cast("string")
+        frames["raw_order_items"] = items.withColumn("order_item_id", own)
 
     def land(raw: RawTable) -> None:
         frames[raw.table].write.csv(f"{folder}/landing/{raw.file}", header=True, quote='"', escape='"')
@@ -532,6 +552,102 @@ def _gate_of_a_run(spark, sf_dir):
     return spark.createDataFrame([row], "checks long, high_failures long, medium_warnings long, exported boolean")
 
 
+def _exported(spark, sf_dir) -> str:
+    """Folder of the export of a run that passed the gate."""
+    warehouse, folder = _ingested(spark, sf_dir, numbered=True)
+    build(warehouse, CONTEXT.as_of)
+    path = export(warehouse, f"{folder}/published").path
+    check_all_published(spark, f"{path}/public", may_be_empty=True)
+    return path
+
+
+def _exported_tables(spark, sf_dir):
+    """Of each published table its rows by the manifest, as internal files and as public ones."""
+    path = _exported(spark, sf_dir)
+    manifest = spark.read.json(f"{path}/manifest").select("high_failures", "rows.*")
+    stated = manifest.unpivot(["high_failures"], list(publication.EXPORT_TABLES), "table_name", "manifest_rows")
+
+    def counted(name: str) -> DataFrame:
+        csv = spark.read.csv(f"{path}/internal/csv/{name}", header=True, quote='"', escape='"')
+        sheet = spark.read.csv(f"{path}/internal/spreadsheet/{name}", header=True, quote='"', escape='"')
+        found = {"csv": csv, "spreadsheet": sheet, "public": read_published(spark, f"{path}/public", name)}
+        sides = [frame.select(F.lit(side).alias("side")) for side, frame in found.items()]
+        rows = [F.count_if(F.col("side") == side).alias(f"{side}_rows") for side in found]
+        return reduce(DataFrame.unionAll, sides).agg(F.lit(name).alias("table_name"), *rows)
+
+    return stated.join(reduce(DataFrame.unionAll, map(counted, publication.EXPORT_TABLES)), "table_name")
+
+
+def _exported_public(name: str):
+    def run(spark, sf_dir):
+        return _rounded(read_published(spark, f"{_exported(spark, sf_dir)}/public", name).drop("build_id"))
+
+    return run
+
+
+def _refusal(act: Callable[[], object]) -> str:
+    """What an act is refused with; ``accepted`` if it is not."""
+    try:
+        act()
+    except (FileNotFoundError, ValueError, ConcurrentRun) as error:
+        return str(error)
+    return "accepted"
+
+
+def _run_outcomes(spark, sf_dir):
+    """What ingest and build say of right and of broken sources, and which run readers see afterwards."""
+    warehouse, folder = _ingested(spark, sf_dir)
+    landing, first = f"{folder}/landing", warehouse.current("ingest")
+    again = ingest(warehouse, landing)
+    forced = ingest(warehouse, landing, force=True)
+    outcomes = {
+        "second ingest": "the same" if again.ingest_run_id == first["run_id"] else "another",
+        "forced ingest": "the same" if forced.ingest_run_id == first["run_id"] else "another",
+        "forced rows": str(forced.rows),
+    }
+
+    frames = _raw_frames(Sample(spark, sf_dir))
+    for raw in RAW_TABLES:
+        head = frames[raw.table].limit(0)
+        if raw.table == "raw_sellers":
+            head = head.select(*reversed(head.columns))
+        head.write.csv(f"{folder}/swapped/{raw.file}", header=True)
+        if raw.table not in ("raw_orders", "raw_products"):
+            head.write.csv(f"{folder}/partial/{raw.file}", header=True)
+    outcomes["missing sources"] = _refusal(lambda: ingest(warehouse, f"{folder}/partial", force=True))
+    outcomes["swapped columns"] = _refusal(lambda: ingest(warehouse, f"{folder}/swapped", force=True))
+    outcomes["ingest afterwards"] = "kept" if warehouse.current("ingest")["run_id"] == forced.ingest_run_id else "lost"
+    outcomes["overtaken ingest"] = _refusal(
+        lambda: warehouse.commit("ingest", "late", {"t": 0}, based_on=first["version"])
+    )
+
+    started = spark.range(1).select(F.current_timestamp()).first()[0]
+    built = build(warehouse, CONTEXT.as_of)
+    ended = spark.range(1).select(F.current_timestamp()).first()[0]
+    tables = warehouse.tables("build")
+    outcomes["tables"] = str(table_count(warehouse))
+    outcomes["tables built"] = str(built.tables_built)
+    outcomes["build time"] = str(started <= tables["build_context"].first()["built_at"] <= ended)
+    outcomes["dashboard columns"] = _refusal(lambda: publication.require_dashboard_columns(tables))
+    lacking = tables | {"executive_monthly": tables["executive_monthly"].drop("units", "as_of_date")}
+    outcomes["lacking columns"] = _refusal(lambda: publication.require_dashboard_columns(lacking))
+    without = {name: frame for name, frame in tables.items() if name != "executive_monthly"}
+    outcomes["lacking table"] = _refusal(lambda: publication.require_dashboard_columns(without))
+    return spark.createDataFrame(list(outcomes.items()), "outcome string, said string")
+
+
+def _landed_digests(spark, sf_dir):
+    """Customers landed as a file for each five hundred ids, and what the manifest says of every file."""
+    folder = f"{_new_folder(spark)}/customers"
+    rows = Sample(spark, sf_dir).read("customer").select(
+        F.floor(F.col("c_custkey") / 500).alias("part"), "c_custkey", "c_mktsegment"
+    )
+    rows.repartition("part").sortWithinPartitions("part", "c_custkey").write.partitionBy("part").csv(folder)
+    files = landing_manifest(spark, folder, "*.csv")
+    part = F.regexp_extract("path", "part=([0-9]+)", 1).cast("long")
+    return files.select(part.alias("part"), "bytes", "sha256")
+
+
 def _landing_manifest(spark, sf_dir):
     return landing_manifest(spark, sf_dir, "*.parquet").select("file", "bytes", "sha256")
 
@@ -612,6 +728,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "value_segments": _dataset(publication.value_segments, "customer_segment_summary"),
     "top_category": _dataset(publication.top_category, "category_performance"),
     "top_categories": _dataset(lambda c: publication.top_categories(c, PART_LABELS), "category_performance"),
+    "top_brands": _top_brands,
     "delivery_summary": _dataset(publication.delivery_summary, "delivery_experience"),
     "category_labels": _category_labels,
     "unmapped_categories": _unmapped_categories,
@@ -679,6 +796,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pipeline_seller_performance_in_buckets": _pipeline_mart("seller_performance", buckets=4),
     "published_roundtrip": _published_roundtrip,
     "gate_of_a_run": _gate_of_a_run,
+    "exported_tables": _exported_tables,
+    "exported_public_category_performance": _exported_public("category_performance"),
+    "run_outcomes": _run_outcomes,
+    "landed_digests": _landed_digests,
     "landing_manifest": _landing_manifest,
     "snapshot_manifest": _snapshot_manifest,
 }
