@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -50,6 +51,13 @@ _WHERE = "site|global|left|right|top|bottom|primary|secondary|[0-9]+"
 _WORD = "|".join(_ASIDE_WORDS)
 _NAMED = re.compile(rf"(?<![^\s])(?:(?:{_WHERE})-+)*(?:{_WORD})(?:-+(?:{_WORD}|{_WHERE}))*(?![^\s])")
 """A whole name made of these words, and of where it stands: ``cookie-notice``, not ``has-sidebar``."""
+_PART = "|".join(
+    "ad ads advert adverts advertisement advertising sponsor sponsored promo promoted comment comments disqus reply "
+    "replies cookie cookies consent gdpr newsletter subscribe signup share sharing social related recommended".split()
+)
+_COMPOUND = re.compile(rf"(?<![^\s])(?!(?:has|with|no|without|hide|show)-)(?:[a-z0-9]+-+)*(?:{_PART})(?:-+[a-z0-9]+)*(?![^\s])")
+"""A name with one of these words anywhere in it, ``user-comments`` or ``ad-slot``, unless it only says that
+there are such parts: a wrapper's ``has-comments``."""
 _MENTIONED = re.compile(rf"(?<![a-z])(?:{_WORD})(?![a-z])")
 _ROLES = frozenset("navigation banner contentinfo complementary search form menu menubar dialog alert".split())
 _TOKEN = re.compile(
@@ -57,6 +65,7 @@ _TOKEN = re.compile(
     r"|<(/?)([a-zA-Z][^\s/>\x00]*)([^>]*)(?:>|\Z)",
     re.DOTALL,
 )
+_END = {tag: re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I) for tag in RAW}
 _ATTRIBUTE = re.compile(r"(?<![^\s\"'/])(class|id|role|hidden|aria-hidden)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?", re.I)
 
 
@@ -91,11 +100,10 @@ def _is_named(tag: str, attributes: str) -> bool:
     """
     if tag in ("html", "body", "main") or not attributes:
         return False
-    pattern = _MENTIONED if tag == "article" else _NAMED
-    return any(
-        name.lower() in ("class", "id") and pattern.search(value.strip("\"'").lower().replace("_", "-"))
-        for name, value in _ATTRIBUTE.findall(attributes)
-    )
+    patterns = (_MENTIONED,) if tag == "article" else (_NAMED, _COMPOUND)
+    names = [value for name, value in _ATTRIBUTE.findall(attributes) if name.lower() in ("class", "id")]
+    names = [value.strip("\"'").lower().replace("_", "-") for value in names]
+    return any(pattern.search(name) for name in names for pattern in patterns)
 
 
 def _judge_names(root: Node) -> None:
@@ -121,15 +129,76 @@ def _judge_names(root: Node) -> None:
             node.aside = True
 
 
+class _Open:
+    """The element that is open, and how many of each tag are open since the innermost scope and in all.
+
+    The counts tell at once that an end tag closes nothing, so elements are walked over only to be closed.
+    """
+
+    def __init__(self, root: Node):
+        self.root = self.here = root
+        self.counts: Counter[str] = Counter()
+        self.scoped: list[Counter[str]] = [Counter()]
+
+    def push(self, node: Node) -> None:
+        self.here = node
+        self.counts[node.tag] += 1
+        if node.tag in SCOPES:
+            self.scoped.append(Counter())
+        else:
+            self.scoped[-1][node.tag] += 1
+
+    def pop_to(self, parent: Node) -> None:
+        """Close what is open below an element."""
+        while self.here is not parent:
+            tag = self.here.tag
+            self.counts[tag] -= 1
+            if tag in SCOPES:
+                self.scoped.pop()
+            else:
+                self.scoped[-1][tag] -= 1
+            self.here = self.here.parent
+
+    def end(self, tag: str) -> None:
+        """An end tag: closes the innermost element of its tag, for all but scopes within the scope."""
+        if not (self.counts if tag in SCOPES else self.scoped[-1])[tag]:
+            return
+        node = self.here
+        while node.tag != tag:
+            node = node.parent
+        self.pop_to(node.parent)
+
+    def imply_ends(self, tag: str) -> None:
+        """Give the end tags that a new element implies."""
+        ends = SIBLINGS.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
+        if tag == "body":
+            ends = ends | {"head"}
+        if not any(self.counts[end] for end in ends):
+            return
+        # An end that is no scope lies within the innermost scope or is not reached.
+        if not any(self.scoped[-1][end] for end in ends) and not ends & SCOPES and self.here.tag not in ends:
+            return
+        node, last = self.here, None
+        while node is not self.root:
+            if node.tag in ends:
+                last = node
+            elif node.tag in SCOPES:
+                break
+            node = node.parent
+        if last is not None:
+            self.pop_to(last.parent)
+
+
 def parse(html: str) -> Node:
     """The page's tree. End tags that are left out are implied; unmatched ones are ignored."""
-    root = here = Node("html", None, False)
+    root = Node("html", None, False)
+    open_ = _Open(root)
     at, size, named = 0, len(html), False
     while at < size:
         found = _TOKEN.search(html, at)
         start = found.start() if found else size
         if start > at:
-            here.children.append(html[at:start])
+            open_.here.children.append(html[at:start])
         if not found:
             break
         at = found.end()
@@ -138,19 +207,13 @@ def parse(html: str) -> Node:
             continue
         tag = tag.lower()
         if found[1] or found[4]:
-            node = here
-            while node is not root and node.tag != tag:
-                if node.tag in SCOPES and tag not in SCOPES:
-                    node = root
-                else:
-                    node = node.parent
-            if node is not root:
-                here = node.parent
+            open_.end(tag)
             continue
         attributes = found[3] or found[6] or ""
-        if tag in ("html", "body") and (tag == "html" or any(n.tag == "body" for n in _up(here))):
+        if tag == "html" or tag == "body" and open_.counts["body"]:
             continue
-        here = _close_implied(here, tag, root)
+        open_.imply_ends(tag)
+        here = open_.here
         if tag in VOID:
             here.children.append(Node(tag, here, False))
             continue
@@ -159,11 +222,11 @@ def parse(html: str) -> Node:
         named = named or node.named
         here.children.append(node)
         if tag in RAW:
-            end = re.compile(rf"</{tag}(?=[\s/>])[^>]*>", re.I).search(html, at)
+            end = _END[tag].search(html, at)
             node.children.append(html[at : end.start() if end else size])
             at = end.end() if end else size
         elif not attributes.endswith("/") or tag not in ("svg", "math"):
-            here = node
+            open_.push(node)
     if named:
         _judge_names(root)
     return root
@@ -175,23 +238,6 @@ def _up(node: Node | None) -> Iterator[Node]:
         node = node.parent
 
 
-def _close_implied(here: Node, tag: str, root: Node) -> Node:
-    """The node a new element belongs to, once the end tags it implies are given."""
-    ends = SIBLINGS.get(tag, set()) | ({"p"} if tag in CLOSES_P else set())
-    if tag == "body":
-        ends = ends | {"head"}
-    if not ends:
-        return here
-    node, last = here, None
-    while node is not root:
-        if node.tag in ends:
-            last = node
-        elif node.tag in SCOPES and node.tag not in ends:
-            break
-        node = node.parent
-    return last.parent if last else here
-
-
 def _measure(root: Node) -> list[Node]:
     """Characters and tags below each node, inline elements and what is aside left out of the tree.
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -11,6 +13,7 @@ import pytest
 
 from orderlens.llm import cover_tree, html_text, warc
 from orderlens.llm.components import connected
+from orderlens.llm.queries import QUERIES
 
 PAGES = "page_id long, url string, html string, digest int"
 
@@ -120,6 +123,90 @@ def test_a_name_alone_does_not_remove_the_article(name):
     assert html_text.extract(f"<html>{before}{with_header}{after}") == TEXT
 
 
+@pytest.mark.parametrize("name", "comment-list user-comments ad-slot google-ad-box newsletter-box related_posts social-share-bar".split())
+def test_adverts_and_comments_go_whatever_their_compound_name(name):
+    inside = ARTICLE[: ARTICLE.index("<ul>")], ARTICLE[ARTICLE.index("<ul>") :]
+    for part in (f"<div class='x {name}'><p>Not of the article</p></div>", f"<section id={name}>Not of the article</section>"):
+        assert html_text.extract(f"<body><article>{inside[0]}{part}{inside[1]}</article>") == TEXT
+
+
+@pytest.mark.parametrize("name", "entry-header has-comments no-ads commentary adapter roads post-widget".split())
+def test_names_that_are_no_part_keep_their_text(name):
+    inside = ARTICLE[: ARTICLE.index("<ul>")], ARTICLE[ARTICLE.index("<ul>") :]
+    assert html_text.extract(f"<body><article>{inside[0]}<div class={name}>{inside[1]}</div></article>") == TEXT
+
+
+@pytest.mark.parametrize(
+    "html",
+    ["<b>" * 50_000 + "</i>" * 50_000, "<div>x" * 20_000 + "</p></b>" * 20_000, "<b><div>" * 20_000 + "</b>" * 20_000, "<p>x" * 50_000],
+    ids=["unmatched", "implied", "scoped", "siblings"],
+)
+def test_deep_pages_with_unmatched_tags_take_time_in_proportion(html):
+    def seconds(page):
+        started = time.perf_counter()
+        html_text.extract(page)
+        return time.perf_counter() - started
+
+    assert seconds(html) < 5
+
+
+def plain_main_text(html):
+    """The method told plainly: every sum over a node's whole subtree, anew for every node."""
+    root = html_text.parse(html)
+
+    def below(node):
+        yield node
+        for child in node.children:
+            if isinstance(child, html_text.Node) and not child.aside:
+                yield from below(child)
+
+    def chars(node, only_links=False):
+        total = 0
+        for n in below(node):
+            linked = any(up.tag == "a" for up in html_text._up(n))
+            if linked or not only_links:
+                total += sum(len("".join(c.split())) for c in n.children if isinstance(c, str))
+        return total
+
+    def density(node):
+        c, lc = chars(node), chars(node, True)
+        if not c:
+            return 0.0
+        t, lt = len(list(below(node))), sum(n.tag == "a" for n in below(node))
+        base = math.log(c / max(c - lc, 1) * lc + chars(root, True) / max(chars(root), 1) * c + math.e)
+        adjust = math.log(max(c / max(lc, 1) * t / max(lt, 1), 1.0)) / max(math.log(base), 1e-9) if base > 1 else 0.0
+        return c / t * (adjust if lc else max(adjust, 1.0))
+
+    sums = {n: sum(density(c) for c in n.children if isinstance(c, html_text.Node) and not c.aside) for n in below(root)}
+    places = [n for n in below(root) if n.tag in html_text.CONTAINERS and chars(n)]
+    if not places:
+        return " ".join(html_text.blocks(root)) if chars(root) else ""
+    best = max(places, key=lambda n: sums[n])
+    threshold = min(density(n) for n in html_text._up(best))
+    while best.tag not in ("article", "main", "body") and best.parent is not None:
+        beside = [c for c in best.parent.children if isinstance(c, html_text.Node) and c is not best and not c.aside]
+        if best.parent.tag not in ("article", "main") and not any(chars(c) and density(c) >= threshold for c in beside):
+            break
+        best = best.parent
+    return " ".join(html_text.blocks(best))
+
+
+def test_main_text_equals_the_plain_densities(spark):
+    """On generated pages, and on every page of the sample through the query."""
+    rng = random.Random(23)
+    tags = "p p div div a b ul li section article h2 span table tr td nav br".split()
+    for _ in range(150):
+        parts = []
+        for _ in range(rng.randint(1, 60)):
+            tag = rng.choice(tags)
+            parts.append(rng.choice([f"<{tag}>", f"</{tag}>", f"<{tag}>{'word ' * rng.randint(1, 30)}", "text here "]))
+        html = "<body>" + "".join(parts)
+        assert html_text.extract(html) == plain_main_text(html), html
+    pages = {r.page_id: r.html for r in spark.read.parquet("/root/testdata/sf0.001/pages.parquet").collect()}
+    got = QUERIES["op4_html_extraction"](spark, "/root/testdata/sf0.001").collect()
+    assert {r.page_id: r.text for r in got} == {i: plain_main_text(html) if html else "" for i, html in pages.items()}
+
+
 def test_pages_without_text_and_odd_markup(spark):
     odd = ["<", "<p", "</p></div>", "<!--", "<script>x", "a<b", "<div " * 3000, "<div>" * 5000 + "deep", "&am &#x41; &#0;"]
     rows = [(i, "u", h, 3) for i, h in enumerate([None, "", *odd])] + [(None, None, "<p>x", 3)] * 2
