@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import time
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -384,6 +385,27 @@ def test_base_secrets_equal_the_patterns_and_stay(spark):
     assert secret_scan.scan(frame(spark, []), None).count() == 0
 
 
+def test_candidates_and_findings_are_merged_as_each_pair_would_be():
+    rng = random.Random(24)
+    for _ in range(200):
+        ends = sorted(rng.sample(range(200), 20))
+        stretches = list(zip(ends[::2], ends[1::2]))
+        spans = sorted((("hex", a, a + rng.randint(1, 40)) for a in rng.sample(range(200), rng.randint(0, 12))), key=lambda s: s[1])
+        for start, end, inside in secret_scan._overlapping(stretches, spans):
+            places = {i for _, a, b in spans for i in range(max(a, start), min(b, end))}
+            assert places == {i for a, b in inside for i in range(a, b)}
+        assert [(a, b) for a, b, _ in secret_scan._overlapping(stretches, spans)] == stretches
+
+
+def test_a_long_text_of_findings_takes_time_in_proportion():
+    text = " ".join("%032x" % i for i in range(30_000))
+    started = time.perf_counter()
+    found = secret_scan.find(text, None)
+    assert len(found) == 30_000
+    assert sum(1 for _ in secret_scan._overlapping(secret_scan.candidates(secret_scan._RUN.finditer(text)), found)) <= 30_000
+    assert time.perf_counter() - started < 5
+
+
 def test_the_network_tells_secrets_from_other_runs():
     """On rows it never saw: the asked recall, at few false alarms."""
     rng = random.Random(10)
