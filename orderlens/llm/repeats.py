@@ -31,6 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import arrow_schema, map_rows, text_key
+from orderlens.operators.hot_join import join_hot
 from orderlens.session import materialize
 
 LENGTH = 200
@@ -298,6 +299,11 @@ def _result(doc_id: int | None, packed: bytes, marks: list[dict] | None) -> Iter
     yield doc_id, len(kept) + removed, removed, runs, hashlib.sha256(kept).hexdigest()
 
 
+def _join_spread(few: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """Join of stored rows with one row a key, which is written first; rows of a frequent key are split."""
+    return join_hot(materialize(few), rows, key)
+
+
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -311,19 +317,23 @@ def remove_repeats(docs: DataFrame, crowded: int = CROWDED) -> DataFrame:
     """
     places = materialize(_places(docs))
     repeated = places.groupBy("anchor").count().where("count > 1").select("anchor")
-    places = materialize(places.join(repeated, "anchor", "left_semi"))
+    places = materialize(_join_spread(repeated, places, "anchor"))
     one = F.min(F.struct("k1", "k2", "span")).alias("one")
     stretches = places.groupBy("anchor", "digest").agg(F.count("*").alias("copies"), one)
     stretches = materialize(stretches.select("anchor", "digest", "copies", "one.*"))
 
     start, n = F.shiftright("span", _SPAN).alias("start"), F.col("span").bitwiseAND(F.lit((1 << _SPAN) - 1)).cast("int").alias("n")
-    whole = stretches.where("copies > 1").select("anchor", "digest")
-    marks = places.join(whole, ["anchor", "digest"], "left_semi").select("k1", "k2", "span").distinct()
+    # One key of both, for the join; the columns themselves decide.
+    both = F.xxhash64("anchor", "digest").alias("both")
+    whole = stretches.where("copies > 1").select(both, F.struct("anchor", "digest").alias("is"))
+    marks = _join_spread(whole, places.select(both, "anchor", "digest", "k1", "k2", "span"), "both")
+    marks = marks.where((F.col("anchor") == F.col("is.anchor")) & (F.col("digest") == F.col("is.digest")))
+    marks = marks.select("k1", "k2", "span").distinct()
     marks = marks.select("k1", "k2", start, n)
 
     different = stretches.groupBy("anchor").agg(F.count("*").alias("different")).where("different > 1")
     listed = (
-        stretches.join(different, "anchor")
+        _join_spread(different, stretches, "anchor")
         .select("k1", "k2", F.struct("anchor", "span", (F.col("copies") == 1).alias("open")).alias("stretch"), "different")
         .groupBy("k1", "k2")
         .agg(F.collect_list(F.struct("stretch.*", "different")).alias("stretches"))
