@@ -310,6 +310,71 @@ def plain_licenses(text):
     return len(found), len(places), first, last, ",".join(sorted(base)), ",".join(sorted(base | kept))
 
 
+def written(pattern, rng):
+    """A text that a rule's pattern matches, its choices drawn."""
+    from re import _parser
+
+    def text(items):
+        out = ""
+        for kind, value in items:
+            kind = str(kind)
+            if kind == "LITERAL":
+                out += chr(value)
+            elif kind == "BRANCH":
+                out += text(rng.choice(value[1]))
+            elif kind == "SUBPATTERN":
+                out += text(value[3])
+            elif kind == "MAX_REPEAT":
+                out += "".join(text(value[2]) for _ in range(rng.randint(value[0], min(value[1], value[0] + 2))))
+            elif kind == "NOT_LITERAL":
+                out += "q"
+            else:
+                kind, value = rng.choice(value)
+                out += chr(value) if str(kind) == "LITERAL" else chr(rng.randint(*value))
+        return out
+
+    return text(_parser.parse(pattern))
+
+
+def test_every_license_rule_matches_texts_that_hold_its_keywords():
+    rng = random.Random(25)
+    rules = licenses.rules()
+    assert len(licenses.BODIES) > 120 and len({r.pattern for r in rules}) > 400
+    for rule in rules:
+        for _ in range(10):
+            text = written(rule.pattern, rng)
+            assert re.fullmatch(rule.pattern, text), rule
+            assert set(rule.keywords) <= set(text.split()), rule
+
+
+LICENSE_TEXTS = {
+    "mit": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including',
+    "bsd,bsd-3-clause": "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
+    "that the following conditions are met: 3. Neither the name of the copyright holder nor the names of its contributors "
+    "may be used to endorse or promote products derived from this software without specific prior written permission.",
+    "isc": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, "
+    "provided that the above copyright notice and this permission notice appear in all copies.",
+    "apache-2.0 or mit": "Licensed under the MIT or Apache-2.0 license.",
+    "gpl-2.0-or-later": "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General "
+    "Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later "
+    "version.",
+    "mpl-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not "
+    "distributed with this file, You can obtain one at",
+    "unlicense": "This is free and unencumbered software released into the public domain.",
+    "gpl-2.0 with syscall-note": "/* SPDX-License-Identifier: GPL-2.0 WITH Linux-syscall-note */",
+}
+
+
+def test_bodies_headers_and_dual_notices_are_labelled(spark):
+    rows = list(enumerate(f"x {text} y" for text in LICENSE_TEXTS.values()))
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, rows)).collect()}
+    for i, expected in enumerate(LICENSE_TEXTS):
+        own = set(got[i].labels.split(",")) - set(got[i].base_labels.split(","))
+        assert own == set(expected.split(",")), (expected, got[i].labels)
+        assert got[i].score == 1.0
+
+
 def test_licenses_equal_brute_force(spark):
     rng = random.Random(8)
     notices = [
