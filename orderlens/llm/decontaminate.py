@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlens.llm.common import map_rows
+from orderlens.session import materialize
 
 Q = 8
 EDIT_RATE = 0.10
@@ -33,8 +34,9 @@ EDIT_RATE = 0.10
 PART, PART_STEP, PART_EDITS = 100, 25, 5
 """Length of the parts of longer passages, how far apart they begin, and the edits allowed in one."""
 
-BLOCK_BYTES = 16_000_000
-"""Text of passages whose q-gram table is broadcast at a time; further passages take further rounds."""
+BLOCK_BYTES = 3_500_000
+"""Text of passages whose q-gram table is broadcast at a time; further passages take further rounds. A
+table takes about 38 bytes a character, so one of a whole block 130 MB."""
 
 _TABLE_BITS = 22
 _STARTS = re.compile(r"\b\w|[^\w\s]")
@@ -355,8 +357,10 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK
                 places = _original(text) if places is None else places
                 yield doc_id, item, int(places[start]), int(places[end - 1]) + 1, edits
 
+        # Stored, so that no more than one block's table is held at a time.
         texts = docs.select("doc_id", "text").where(F.col("text").isNotNull())
-        found.append(map_rows(texts, each, SCHEMA))
+        found.append(materialize(map_rows(texts, each, SCHEMA)))
+        shared.destroy()
     return reduce(DataFrame.union, found)
 
 
