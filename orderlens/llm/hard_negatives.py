@@ -30,6 +30,8 @@ from orderlens.session import materialize
 
 ROW_BLOCK = 16_384
 ANCHOR_BLOCK = 8_192
+BLOCK_VALUES = 1 << 21
+"""Components that a block holds at most: blocks of long vectors hold fewer rows."""
 PLANES = 6
 """Bits of an anchor's rotated component."""
 PAIRS = 1 << 18
@@ -327,6 +329,9 @@ def mine(
         F.col("embedding").cast("array<double>").alias("embedding"),
     )
     coded = materialize(code(usable).withColumn("number", F.monotonically_increasing_id()))
+    totals = coded.agg(F.count("*"), F.count_if("anchor"), F.max(F.size("vector"))).first()
+    longest = max(1, totals[2] or 0)
+    row_block, anchor_block = (max(1, min(size, BLOCK_VALUES // longest)) for size in (row_block, anchor_block))
     # Written, so that a label with very many rows can be split in the join.
     sizes = materialize(
         coded.groupBy("label")
@@ -354,8 +359,7 @@ def mine(
     scores = best.where("score >= 0").groupBy("anchor_number")
     scores = scores.agg(F.sort_array(F.collect_set("score"), asc=False).alias("positive_scores"))
     asking = coded.where("anchor").join(scores.withColumnRenamed("anchor_number", "number"), "number")
-    totals = coded.agg(F.count("*"), F.count_if("anchor")).first()
-    row_count, anchor_count = (F.lit(max(1, n)) for n in totals)
+    row_count, anchor_count = (F.lit(max(1, n)) for n in totals[:2])
     asking = asking.withColumns(
         {"g": _all_blocks(row_count, row_block), "a": _block(anchor_count, anchor_block, "anchor")}
     )
