@@ -2,8 +2,9 @@
 
 A text becomes the L2-normed square roots of its counts of hashed letter n-grams. A linear support
 vector machine for each family against the rest picks the family; within it, one linear machine for
-each pair of languages votes. Learning reads a hash sample of the labelled rows, of a fixed expected
-number for each language whatever the size of the table; predicting reads whole texts of all rows.
+each pair of languages votes. Learning reads all labelled rows that are not held out: they are dealt to
+shards, each of which makes machines of its own in a task, and a machine of the model is the mean of
+those of the shards. Predicting reads whole texts of all rows.
 """
 
 from __future__ import annotations
@@ -14,13 +15,18 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orderlens.llm.common import map_rows
+from orderlens.llm.common import arrow_schema, map_rows, to_batch
+from orderlens.session import materialize
 
-ROWS_PER_LANGUAGE = 400
-"""Expected number of rows sampled for each language; the bound of what learning sees."""
+SHARD_ROWS = 2048
+"""Expected rows of a shard; there are as many shards as all labelled rows take."""
+
+LEAST_ROWS = 50
+"""Rows of a language that each shard expects: a language with fewer for each has them in several shards."""
 
 DIMENSIONS = 1 << 13
 ORDERS = (1, 2, 3)
@@ -50,19 +56,26 @@ def family_of(language: str) -> str:
 
 
 def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Indices and L2-normed values of a text's n-gram features; empty where there is no letter.
+    """Indices and L2-normed values of a text's n-gram features; empty where there is no letter."""
+    index, counts = _gram_counts(text)
+    values = np.sqrt(counts)
+    return index, values / np.linalg.norm(values) if len(index) else values
+
+
+def _gram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Indices and counts of a text's hashed n-grams; empty where there is no letter.
 
     Whatever is no letter counts as one space, so digits, marks and markup carry no information.
     """
     if not text:
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     points = np.frombuffer(text.lower().encode("utf-32-le"), "<u4")
     if points.max() < len(_LETTER):
         letter = _LETTER[points]
     else:
         letter = np.fromiter(map(str.isalpha, text.lower()), bool, len(points))
     if not letter.any():
-        return np.zeros(0, np.int64), np.zeros(0)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
     keep = letter.copy()
     keep[1:] |= letter[:-1]  # a letter, or the first of what stands between letters
     codes = np.where(letter, points, 32)[keep].astype(np.uint64)
@@ -75,8 +88,7 @@ def grams(text: str | None) -> tuple[np.ndarray, np.ndarray]:
             slot = (hashed * np.uint64(0xD6E8FEB86659FD93) + np.uint64(order)) >> np.uint64(40)
             counts += np.bincount((slot % np.uint64(DIMENSIONS)).astype(np.int64), minlength=DIMENSIONS)
     index = np.flatnonzero(counts)
-    values = np.sqrt(counts[index])
-    return index, values / np.linalg.norm(values)
+    return index, counts[index]
 
 
 _LETTER = np.array([chr(i).isalpha() for i in range(0x2000)])
@@ -139,30 +151,52 @@ class Model:
         return winner, float(np.clip(score * surety[winner] / (len(languages) - 1), 0, 1))
 
 
-def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model:
-    """A model of rows (language, feature indices, feature values)."""
+Row = tuple[str, np.ndarray, np.ndarray]
+
+
+def _families(languages: Collection[str]) -> dict[str, list[str]]:
+    found: dict[str, list[str]] = {}
+    for name in sorted(languages):
+        found.setdefault(family_of(name), []).append(name)
+    return found
+
+
+def _machines(rows: list[Row]) -> Iterator[tuple[str, str, int, np.ndarray]]:
+    """Machines of rows (language, feature indices, feature values): (family, "", rows, weights) of a family
+    against the rest, and (language, other, rows, weights) of each pair; ``rows`` are those of the rarer side."""
     rows = sorted((r for r in rows if len(r[1])), key=lambda r: (r[0], len(r[1]), r[1].sum(), r[2].sum()))
     x = np.zeros((len(rows), DIMENSIONS + 1), np.float32)
     x[:, -1] = 1
     for row, (_, index, values) in zip(x, rows):
         row[index] = values
     names = np.array([r[0] for r in rows], object)
-    languages: dict[str, list[str]] = {}
-    for name in sorted(set(names)):
-        languages.setdefault(family_of(name), []).append(name)
-    families = sorted(languages)
     of = np.array([family_of(name) for name in names], object)
-    if len(families) > 1:
-        by_family = np.stack([_svm(x, np.where(of == f, 1.0, -1.0)) for f in families])
-    else:
-        by_family = np.zeros((len(families), DIMENSIONS + 1))
-    pairs = {}
-    for family, members in languages.items():
-        pairs[family] = []
+    languages = _families(set(names))
+    if len(languages) > 1:
+        for family in sorted(languages):
+            own = of == family
+            yield family, "", min(own.sum(), (~own).sum()), _svm(x, np.where(own, 1.0, -1.0))
+    for members in languages.values():
         for a, b in combinations(members, 2):
             both = (names == a) | (names == b)
-            pairs[family].append((a, b, _svm(x[both], np.where(names[both] == a, 1.0, -1.0))))
-    return Model(families, by_family, pairs, languages)
+            rarer = min((names == a).sum(), (names == b).sum())
+            yield a, b, rarer, _svm(x[both], np.where(names[both] == a, 1.0, -1.0))
+
+
+def _model(names: Collection[str], machines: dict[tuple[str, str], np.ndarray]) -> Model:
+    languages = _families(names)
+    families, none = sorted(languages), np.zeros(DIMENSIONS + 1)
+    by_family = [machines.get((family, ""), none) for family in families]
+    pairs = {
+        family: [(a, b, machines.get((a, b), none)) for a, b in combinations(members, 2)]
+        for family, members in languages.items()
+    }
+    return Model(families, np.array(by_family).reshape(-1, DIMENSIONS + 1), pairs, languages)
+
+
+def fit(rows: list[Row]) -> Model:
+    """A model of rows (language, feature indices, feature values) in memory; ``learn`` is for tables."""
+    return _model({r[0] for r in rows if len(r[1])}, {(a, b): w for a, b, _, w in _machines(rows)})
 
 
 def held_out(doc_id: str = "doc_id"):
@@ -170,27 +204,82 @@ def held_out(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
-def _features(lang: str, text: str | None) -> Iterator[tuple]:
-    index, values = grams(text)
-    yield lang, index.tolist(), values.tolist()
+def _features(lang: str, shards: list[int], text: str | None) -> Iterator[tuple]:
+    """The features of a row for each of its shards, as steps between indices and as counts."""
+    index, counts = _gram_counts(text)
+    if len(index):
+        steps, counts = np.diff(index, prepend=0).astype("<u2").tobytes(), counts.astype("<u4").tobytes()
+        yield from ((shard, lang, steps, counts) for shard in shards)
+
+
+def _row(lang: str, steps: bytes, counts: bytes) -> Row:
+    values = np.sqrt(np.frombuffer(counts, "<u4"))
+    return lang, np.frombuffer(steps, "<u2").astype(np.int64).cumsum(), values / np.linalg.norm(values)
+
+
+def _shards(labelled: DataFrame, counts: dict[str, int]) -> tuple[int, Column]:
+    """How many shards the rows are dealt to, and the shards of a row: one, or several where its language
+    has too few rows for all."""
+    n = -(-sum(counts.values()) // SHARD_ROWS)
+    deals = {lang: min(n, max(1, rows // LEAST_ROWS)) for lang, rows in counts.items()}
+    deal = F.create_map(*[F.lit(v) for pair in deals.items() for v in pair])[F.col("lang")]
+    first = F.pmod(F.xxhash64("doc_id", F.lit("shard")), deal).cast("int")
+    return n, F.sequence(first, F.lit(n - 1), deal)
 
 
-def learn(docs: DataFrame, rows_per_language: int = ROWS_PER_LANGUAGE) -> Model:
-    """A model of the labelled rows that are not held out.
+def _sums(machines: DataFrame, key: Column) -> DataFrame:
+    """Machines of each key added up in a fixed order, as sums are not the same in every order."""
+    schema = "shard long, a string, b string, rows long, weights binary"
+    fields = arrow_schema(machines.sparkSession, schema)
 
-    A language with more than ``rows_per_language`` rows is sampled by a hash of its ids to that
-    expected number. What reaches the driver is the features of those rows, of fixed dimension.
+    def each(table: pa.Table) -> pa.Table:
+        found: dict[tuple[str, str], list] = {}
+        for r in sorted(table.to_pylist(), key=lambda r: (r["a"], r["b"], r["shard"])):
+            total = found.setdefault((r["a"], r["b"]), [0, np.zeros(DIMENSIONS + 1)])
+            total[0] += r["rows"]
+            total[1] += np.frombuffer(r["weights"])
+        shard = table["key"][0].as_py()
+        rows = [(shard, a, b, n, total.tobytes()) for (a, b), (n, total) in found.items()]
+        return pa.Table.from_batches([to_batch(rows, fields)])
+
+    return machines.withColumn("key", key).groupBy("key").applyInArrow(each, schema)
+
+
+def learn(docs: DataFrame) -> Model:
+    """A model of all labelled rows that are not held out.
+
+    Rows are dealt to shards by a hash of their ids. A machine of the model is the mean of the shards'
+    machines, each by the rows of its rarer side. What reaches the driver is sums over about the square
+    root of the shards.
     """
     labelled = docs.where(F.col("lang").isNotNull() & ~held_out() & F.col("doc_id").isNotNull())
     counts = {row["lang"]: row["count"] for row in labelled.groupBy("lang").count().collect()}
     if not counts:
         return fit([])
-    spread = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000))
-    shares = F.create_map(*[F.lit(v) for k, n in counts.items() for v in (k, int(1e6 * rows_per_language / n))])
-    sample = labelled.where(spread < shares[F.col("lang")]).select("lang", "text")
-    features = map_rows(sample, _features, "lang string, at array<int>, value array<float>")
-    rows = [(r["lang"], np.array(r["at"], np.int64), np.array(r["value"])) for r in features.toLocalIterator()]
-    return fit(rows)
+    n, shards = _shards(labelled, counts)
+    schema = "shard int, lang string, steps binary, counts binary"
+    features = map_rows(labelled.select("lang", shards, "text"), _features, schema)
+    made = "shard long, a string, b string, rows long, weights binary"
+    fields = arrow_schema(docs.sparkSession, made)
+
+    def each(table: pa.Table) -> pa.Table:
+        found = zip(*(table[name].to_pylist() for name in ("lang", "steps", "counts")))
+        rows = [_row(*r) for r in sorted(found)]
+        shard = table["shard"][0].as_py()
+        # A language that stands alone has no machine, but a place in the model.
+        out = [(shard, lang, lang, 0, np.zeros(DIMENSIONS + 1).tobytes()) for lang in sorted({r[0] for r in rows})]
+        out += [(shard, a, b, int(rarer), (rarer * w).tobytes()) for a, b, rarer, w in _machines(rows)]
+        return pa.Table.from_batches([to_batch(out, fields)])
+
+    machines = materialize(features.repartition(n, "shard").groupBy("shard").applyInArrow(each, made))
+    summed = _sums(machines, F.pmod(F.col("shard"), F.lit(max(1, round(n**0.5)))))
+    total: dict[tuple[str, str], list] = {}
+    for r in summed.orderBy("shard", "a", "b").collect():
+        sums = total.setdefault((r["a"], r["b"]), [0, np.zeros(DIMENSIONS + 1)])
+        sums[0] += r["rows"]
+        sums[1] += np.frombuffer(r["weights"])
+    names = {a for a, b in total if a == b}
+    return _model(names, {pair: w / rows for pair, (rows, w) in total.items() if rows})
 
 
 def predict(docs: DataFrame, model: Model) -> DataFrame:
@@ -234,8 +323,6 @@ def determined(
         return language != UNDETERMINED and score >= least_score and (wanted is None or language in wanted)
 
     def keep(batches):
-        import pyarrow as pa
-
         for batch in batches:
             texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
             yield batch.filter(pa.array([known(text) for text in texts], pa.bool_()))

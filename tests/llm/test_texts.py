@@ -7,6 +7,7 @@ import hashlib
 import random
 import re
 import time
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -283,6 +284,30 @@ def test_languages_are_learned_from_part_and_told_on_the_rest(spark):
     assert langid.identify(frame(spark, [])).count() == 0
 
 
+def test_every_labelled_row_is_learned_from(spark, monkeypatch):
+    """Rows in several shards, a rare language in more than one of them, and none left out."""
+    rng = random.Random(33)
+    letters = {"en": "the and of", "nl": "het een van", "fr": "les des est", "xx": "zoq vuq wuq"}
+    text = lambda lang: " ".join(rng.choices(letters[lang].split(), k=20))
+    langs = ["en"] * 900 + ["nl"] * 500 + ["fr"] * 300 + ["xx"] * 30
+    rows = [(i, text(lang), lang) for i, lang in enumerate(langs)] + [(9000, "12 34", "yy"), (9001, None, "zz")]
+    docs = frame(spark, rows)
+    monkeypatch.setattr(langid, "SHARD_ROWS", 256)
+    dealt = []
+    deal = langid._shards
+    monkeypatch.setattr(langid, "_shards", lambda labelled, counts: dealt.append((labelled, deal(labelled, counts))) or dealt[0][1])
+    model = langid.learn(docs)
+    labelled, (n, shards) = dealt[0]
+    of = {r.doc_id: r.shards for r in labelled.select("doc_id", shards.alias("shards")).collect()}
+    learned = [r[0] for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    assert sorted(of) == sorted(learned) and n == -(-len(learned) // 256) > 4
+    assert all(len(of[i]) == (n if langs[i] == "xx" else 1) for i in learned if i < 9000 and langs[i] in ("en", "xx"))
+    assert {name for family in model.languages.values() for name in family} == set(letters)
+    again = langid.learn(docs.repartition(7))
+    assert (again.by_family == model.by_family).all()
+    assert all(model.predict(text(lang))[0] == lang for lang in letters for _ in range(20))
+
+
 # Licenses
 
 
