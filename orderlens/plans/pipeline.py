@@ -38,6 +38,8 @@ INTERMEDIATE = ("delivered_lines", "customer_base")
 BUCKET_KEY = "order_id"
 BUCKETED = ("fct_order", "fct_order_item", "fct_payment", "fct_review", "order_summary", "delivered_lines")
 DEALT = ("order_summary", "delivered_lines")
+ROWS_PER_BUCKET = 500_000
+"""Rows of a fact that a bucket holds on average at most; one task reads and joins a bucket."""
 # Tables written at the same time; each write is a distributed job of its own.
 CONCURRENT_WRITES = 6
 
@@ -112,11 +114,15 @@ def record_landing(warehouse: Warehouse, source_dir: str, dataset: str, source:
 
 
 def _buckets(warehouse: Warehouse, raw: Mapping[str, DataFrame]) -> int:
-    """Into how many buckets this run's tables go. A bucket is read by one task, so if some order holds
+    """Into how many buckets this run's tables go: the warehouse's number, or as many times that as keep a
+    bucket's rows few however large the facts are. A bucket is read by one task, so if some order holds
     more than a bucket's share of a fact, the tables are stored plainly and joins split it."""
-    facts = ("raw_order_items", "raw_order_payments", "raw_order_reviews")
-    hot = any(hot_keys(raw[name], BUCKET_KEY, warehouse.buckets) for name in facts) if warehouse.buckets else True
-    return 0 if hot else warehouse.buckets
+    if not warehouse.buckets:
+        return 0
+    facts = [raw[name] for name in ("raw_order_items", "raw_order_payments", "raw_order_reviews")]
+    rows = max(fact.count() for fact in facts)
+    buckets = warehouse.buckets * max(1, -(-rows // (warehouse.buckets * ROWS_PER_BUCKET)))
+    return 0 if any(hot_keys(fact, BUCKET_KEY, buckets) for fact in facts) else buckets
 
 
 def build(warehouse: Warehouse, as_of: date | None = None) -> BuildResult:
