@@ -246,6 +246,15 @@ def test_all_key_checks_are_one_exchange_of_keys(spark):
     assert plan.count("Exchange hashpartitioning(kind") == plan.count("Exchange") == 2
 
 
+def test_keys_carry_only_the_parts_that_some_kind_uses(spark):
+    rows = spark.range(0, 10).select("id", F.col("id").cast("string").alias("name"))
+    sides = [Keyed("a", rows, ["id"]), Keyed("b", rows, ["id", "name"])]
+    plan = _plan(key_totals(sides))
+    assert "number_0" in plan and "text_1" in plan
+    assert "text_0" not in plan and "number_1" not in plan
+    assert {r.kind: (r.surplus, r.orphans) for r in key_totals(sides).collect()} == {"a": (0, 0), "b": (0, 0)}
+
+
 def test_surplus_of_nested_keys_is_rolled_up(spark):
     rng = random.Random(18)
     pick = lambda n: rng.choice([None, *range(n)])

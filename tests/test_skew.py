@@ -157,3 +157,21 @@ def test_distinct_counts_of_a_hot_key_are_spread_by_value(spark, hot):
     assert plan.count("hashpartitioning(order_id") == 4
     for value in ("product_id", "seller_id"):
         assert any("hashpartitioning(order_id" in line and value in line for line in plan.split("\n"))
+
+
+def test_facts_without_a_frequent_order_are_dealt_once(spark, hot):
+    """Items move once and payments once; the counts are those of the plan for frequent orders."""
+    items = hot["items"].filter("order_id <> 0").withColumn(
+        "product_id", F.when(F.col("seller_id") % 5 != 0, F.col("product_id") + F.col("seller_id") % 3)
+    )
+    payments = items.select(
+        "order_id", F.concat(F.lit("t"), F.col("seller_id") % 4).alias("payment_type"), F.col("item_value_brl").alias("payment_value_brl")
+    )
+    for by_order, rows in ((orders.items_by_order, items), (orders.payments_by_order, payments)):
+        dealt, moved = by_order(rows), by_order(rows, stored_by_order=True)
+        plan = dealt._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == plan.count("Exchange hashpartitioning(order_id") == 1
+        assert "REPARTITION" not in moved._jdf.queryExecution().executedPlan().toString()
+        assert dealt.dtypes == moved.dtypes
+        assert sorted(map(str, dealt.collect())) == sorted(map(str, moved.collect()))
+        assert dealt.count() == rows.select("order_id").distinct().count()
