@@ -293,3 +293,42 @@ def test_components_of_paths_stars_and_rings(spark):
     expected = {i: 1000 for i in range(1000, 1041)} | {i: 5 for i in (5, *range(2000, 2100))}
     expected |= {3000 + i: 3000 for i in range(20)}
     assert got == expected
+
+
+def _noise(n, seed):
+    """Unrelated vectors, and two groups of near copies, of which the first is wider than the threshold."""
+    rng = np.random.default_rng(seed)
+    v = rng.normal(size=(n, 64))
+    v[:300] = v[0] + rng.normal(scale=0.2, size=(300, 64))
+    v[300:400] = v[300] + rng.normal(scale=0.02, size=(100, 64))
+    return v / np.linalg.norm(v, axis=1)[:, None]
+
+
+def test_unrelated_vectors_are_sent_to_few_tasks(spark):
+    """They prune nothing, so each goes to a task for every part of its label: parts must be large."""
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(_noise(5000, 1))]
+    units = cover_tree._units(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    units = units.localCheckpoint()
+    assert cover_tree._meetings(units, cover_tree._celled(units)).count() == 5000
+
+
+@pytest.mark.parametrize("block", [2048, 70])
+def test_trees_of_unrelated_vectors_give_all_links(monkeypatch, block):
+    """Within a part and between two, in few blocks and in many."""
+    monkeypatch.setattr(cover_tree, "BLOCK", block)
+    a, b = _noise(900, 2), _noise(700, 3)
+    b[:20] = a[:20]
+    both, weights = np.concatenate([a, b]), np.arange(1, 1601)
+    close_ = both @ both.T >= 0.93
+    np.fill_diagonal(close_, False)
+    trees = cover_tree.build(a), cover_tree.build(b)
+    assert max(len(t.children) for t in trees) > 400
+    within = cover_tree.traverse(trees[0], trees[0], a, a, 0, weights[:900], 0.93)
+    assert (within.counts == close_[:900, :900] @ weights[:900]).all()
+    between = cover_tree.traverse(*trees, a, b, 900, weights, 0.93)
+    close_[:900, :900] = close_[900:, 900:] = False
+    assert (between.counts == close_ @ weights).all()
+    root = np.arange(1600)
+    while (less := np.minimum(root, np.where(close_, root, 1600).min(axis=1))).tolist() != root.tolist():
+        root = less
+    assert between.roots(np.arange(1600)).tolist() == root.tolist()
