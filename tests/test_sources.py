@@ -4,15 +4,19 @@ from __future__ import annotations
 
 import hashlib
 import random
+import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlens.contracts import RAW_BY_TABLE
-from orderlens.plans.pipeline import record_landing
+from orderlens.plans import pipeline
+from orderlens.plans.pipeline import ingest, record_landing
+from orderlens.session import release
 from orderlens.sources import commits
 from orderlens.sources.commits import ConcurrentRun
 from orderlens.sources.landing import landing_manifest, read_raw, snapshot_manifest
@@ -207,3 +211,40 @@ def test_parts_and_empty_files_have_their_own_headers(spark, tmp_path):
         Path(tmp_path, f"part-{n}.csv").write_text(text, encoding="utf-8")
     rows = sorted(map(tuple, read_records(spark, str(tmp_path), _THREE).collect()))
     assert rows == [("1", "2", "3"), ("4", None, "6")]
+
+
+def test_lines_of_records_move_once(spark, tmp_path):
+    """To be numbered in their range: all lines meet the ranges, and those of longer records their beginnings.
+    None moves again to learn which is the first of its file."""
+    Path(tmp_path, "one.csv").write_text('a,b,c\n1,"x\ny",3\n4,5,6\n', encoding="utf-8")
+    plan = read_records(spark, str(tmp_path), _THREE)._jdf.queryExecution().executedPlan().toString()
+    joins = [line for line in plan.split("\n") if "HashJoin" in line or "SortMergeJoin" in line]
+    assert len(joins) == 4
+    by_range = [line for line in joins if "range#" in line]
+    assert len(by_range) == 3
+
+
+def _shuffles(spark) -> int:
+    return spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses().size()
+
+
+def test_shuffle_files_of_finished_queries_are_let_go(spark, tmp_path):
+    """All but those of the newest query, which Spark may still hold."""
+    release(spark)
+    time.sleep(1)
+    before = _shuffles(spark)
+    for n in range(12):
+        spark.range(1_000).groupBy((F.col("id") % 10).alias("k")).count().write.parquet(str(tmp_path / str(n)))
+    release(spark)
+    for _ in range(20):
+        if _shuffles(spark) <= before + 2:
+            break
+        time.sleep(0.5)
+    assert _shuffles(spark) <= before + 2
+
+
+def test_a_run_lets_go_after_each_step(spark, tmp_path, story_dir, monkeypatch):
+    steps = []
+    monkeypatch.setattr(pipeline, "release", steps.append)
+    ingest(Warehouse(spark, str(tmp_path)), story_dir)
+    assert steps == [spark]
